@@ -39,10 +39,8 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
 
 def encode_label(name: Column, codes: Mapping[str, int], unknown: int = -1) -> Column:
     """Exact, case-sensitive name to code."""
-    encoded = F
-    for text, code in codes.items():
-        encoded = encoded.when(name == text, F.lit(code))
-    return encoded.otherwise(F.lit(unknown))
+    matches = [F.when(name == text, F.lit(code)) for text, code in codes.items()]
+    return F.coalesce(*matches, F.lit(unknown))
 
 
 def decode_label(code: Column, codes: Mapping[str, int]) -> Column:
@@ -105,7 +103,8 @@ def compare(value: Column, operator: Column, target: Column) -> Column:
 def short_number(value: Column) -> Column:
     """Six significant digits without trailing zeros (``500``, ``0.8``, ``1e+06``)."""
     padded = F.format_string("%.6g", value)
-    return F.regexp_replace(padded, r"\.?0*(e.*)?$", "$1")
+    stripped = F.regexp_replace(padded, r"\.?0+(e.*)?$", "$1")
+    return F.when(F.contains(padded, F.lit(".")), stripped).otherwise(padded)
 
 
 def target_text(operator: Column, target: Column, unit: Column) -> Column:
