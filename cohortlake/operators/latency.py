@@ -64,7 +64,12 @@ def latency_histogram(
 
 def _rank(total: Column, per_mille: Column) -> Column:
     """Nearest rank, in whole numbers: the smallest rank that covers the share, at least 1."""
-    return F.greatest(F.floor((total * per_mille + 999) / F.lit(1000)), F.lit(1)).cast("bigint")
+    return F.greatest(_div(total * per_mille + 999, F.lit(1000)), F.lit(1).cast("bigint"))
+
+
+def _div(value: Column, by: Column) -> Column:
+    """Whole-number division, exact over the whole bigint range."""
+    return F.call_function("div", value, by)
 
 
 def histogram_percentiles(hist: DataFrame, per_mille: dict[str, int], by: Sequence[str] = ()) -> DataFrame:
@@ -119,8 +124,9 @@ def latency_percentiles(
     )
 
     in_bucket = rows.join(F.broadcast(buckets), [by, "_low"])
-    step = F.greatest(F.floor(histogram.bucket_width(F.col("_v")) / F.lit(_PARTS)), F.lit(1))
-    cut = F.floor((F.col("_v") - F.col("_low")) / step)
+    width = histogram.bucket_width(F.col("_v"))
+    step = F.greatest(_div(width, F.lit(_PARTS)), F.lit(1).cast("bigint"))
+    cut = _div(F.col("_v") - F.col("_low"), step)
     second = in_bucket.groupBy(by, "_name", "_low", "_rank", "_total", cut.alias("_cut")).agg(
         F.count("*").alias("_rows")
     )

@@ -23,7 +23,7 @@ class StudyContext:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         path = fresh_path(spark, "training-records")
-        enriched = records.enrich(students(spark, sf_dir))
+        enriched = records.enrich(students(spark, sf_dir, spread_out=True))
         batches.write_batches(records.project_record(enriched, ["event_seq"]), path, rows_per_file=0)
         self.labelled = records.known_labels(batches.scan_parquet(spark, path))
         self._training: models.TrainingSet | None = None

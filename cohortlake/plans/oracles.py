@@ -287,7 +287,7 @@ ORACLES: dict[str, str] = {
     )
     + "SELECT mode, bucket_top, rows, cast(sum(rows) OVER w AS bigint) AS rows_up_to, "
     "cast(sum(rows) OVER (PARTITION BY mode) AS bigint) AS total_rows, "
-    "round(sum(rows) OVER w / sum(rows) OVER (PARTITION BY mode), 4) AS share_up_to "
+    "cast(sum(rows) OVER w AS double) / cast(sum(rows) OVER (PARTITION BY mode) AS double) AS share_up_to "
     "FROM tops WINDOW w AS (PARTITION BY mode ORDER BY bucket_top)",
     "run_summary": _with(SENDS, RUNS)
     + "SELECT target_rate, scale_factor, total_sent, total_errors, "

@@ -33,6 +33,11 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.enrich(students(spark, sf_dir))
 
 
+def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record view for queries that write, encode or return all of its columns."""
+    return students(spark, sf_dir, spread_out=True)
+
+
 def _rounded(df: DataFrame, columns, digits: int = 4) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
@@ -42,7 +47,7 @@ def _rounded(df: DataFrame, columns, digits: int = 4) -> DataFrame:
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = students(spark, sf_dir)
+    rows = _whole(spark, sf_dir)
     raw, normal = fresh_path(spark, "raw-csv"), fresh_path(spark, "csv")
     delimited.write_table_csv(rows, raw, sep=";")
     delimited.normalize_delimited(spark, raw, normal, sep=";")
@@ -54,7 +59,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lenient_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "spoiled-csv")
     keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    spoiled = cases.spoiled_cells(students(spark, sf_dir))
+    spoiled = cases.spoiled_cells(_whole(spark, sf_dir))
     spoiled.write.options(header=True, **keep_blanks).csv(path)
     return delimited.read_lenient_csv(spark, path)
 
@@ -62,15 +67,15 @@ def lenient_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "messages")
-    messages.write_messages(cases.clean_messages(students(spark, sf_dir)), "parquet", path)
+    messages.write_messages(cases.clean_messages(_whole(spark, sf_dir)), "parquet", path)
     stored = messages.read_messages(spark, "parquet", path, streaming=False)
-    return messages.decode_json(stored).select("key", "record.*")
+    return messages.decode_json(stored).filter("valid").select("key", "record.*")
 
 
 @query
 def batched_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "batches")
-    batches.write_batches(records.project_record(_enriched(spark, sf_dir)), path)
+    batches.write_batches(records.project_record(records.enrich(_whole(spark, sf_dir))), path)
     batches.assert_nonempty(spark, path)
     return batches.rows_per_file(spark, path).agg(
         F.sum("rows").alias("total_rows"),
@@ -81,7 +86,7 @@ def batched_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "records")
-    batches.write_batches(records.project_record(_enriched(spark, sf_dir)), path, rows_per_file=0)
+    batches.write_batches(records.project_record(records.enrich(_whole(spark, sf_dir))), path, rows_per_file=0)
     return records.known_labels(batches.scan_parquet(spark, path))
 
 
@@ -189,7 +194,7 @@ def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enriched_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.project_record(_enriched(spark, sf_dir))
+    return records.project_record(records.enrich(_whole(spark, sf_dir)))
 
 
 @query
@@ -226,12 +231,12 @@ def scale_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def strict_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages.decode_strict(cases.spoiled_messages(students(spark, sf_dir)))[0]
+    return messages.decode_strict(cases.spoiled_messages(_whole(spark, sf_dir)))[0]
 
 
 @query
 def strict_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages.decode_strict(cases.spoiled_messages(students(spark, sf_dir)))[1].select("key")
+    return messages.decode_strict(cases.spoiled_messages(_whole(spark, sf_dir)))[1].select("key")
 
 
 @query
@@ -327,7 +332,7 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = latency.latency_samples_by_mode(sends(spark, sf_dir))
-    return _rounded(latency.latency_histogram(samples, by=["mode"]), ["share_up_to"])
+    return latency.latency_histogram(samples, by=["mode"])
 
 
 @query
@@ -453,7 +458,7 @@ def system_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox, out, mark = (fresh_path(spark, n) for n in ("inbox", "ingested", "ingest-checkpoint"))
-    messages.write_messages(cases.spoiled_messages(students(spark, sf_dir)), "text", inbox)
+    messages.write_messages(cases.spoiled_messages(_whole(spark, sf_dir)), "text", inbox)
     stream = messages.read_messages(spark, "text", inbox)
     streaming.drain(streaming.stream_ingest(stream, out, mark))
     return batches.scan_parquet(spark, out)
@@ -462,7 +467,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox, out, mark = (fresh_path(spark, n) for n in ("inbox", "ingested", "ingest-checkpoint"))
-    sent = cases.spoiled_messages(students(spark, sf_dir))
+    sent = cases.spoiled_messages(_whole(spark, sf_dir))
     odd = F.col("key").cast("bigint") % 2 == 1
     runs = []
     for number, arrived in enumerate([sent.filter(~odd), sent.filter(odd), None], start=1):

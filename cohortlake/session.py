@@ -70,6 +70,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that comes in fewer splits than there are cores.
+
+    A large table already has more splits than cores and is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of ``path`` and the path itself, as JVM objects."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -75,46 +75,60 @@ def decode_json(
     optional: Mapping[str, object] = schema.OPTIONAL_DEFAULTS,
     value: str = "value",
 ) -> DataFrame:
-    """Add ``record``, a struct that is NULL where the text is not exactly one valid record.
+    """Add ``record``, the parsed fields, and ``valid``: the text is exactly one good record.
 
-    A record is one JSON object and nothing after it, each known field at most once, every
+    A good record is one JSON object and nothing after it, each known field at most once, every
     required field present, whole numbers in integer fields, finite numbers in doubles, text in
     strings. Unknown fields are ignored and absent optional ones take their default.
 
-    The text is parsed as the only element of an array, so anything behind the object breaks the
-    array; the one text that could close that array early has a bracket, and is parsed once more
-    as a member of an object, where a bracket cannot follow. String fields are parsed as variants,
-    which remember whether the JSON value was a string. The parsed value passes through
-    ``explode_outer`` so that the optimizer cannot copy the parse into the filters on it.
+    The text is parsed once, as the only element of an array, so anything behind the object
+    breaks the array. String fields are parsed as variants, which remember whether the JSON value
+    was a string. The parse sits in a generator, so the optimizer cannot copy it into filters.
     """
     wire = T.StructType([T.StructField(f.name, _wire_type(f.dataType)) for f in record.fields])
     text = F.col(value)
-    in_array = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(wire), _STRICT)
-    parsed = F.struct(in_array.alias("rows"), F.json_object_keys(text).alias("keys"))
-    rows = df.select("*", F.explode_outer(F.array(parsed)).alias("_parsed"))
-
-    objects, keys = F.col("_parsed.rows"), F.col("_parsed.keys")
-    only = F.get(objects, F.lit(0))
-    member = T.StructType([T.StructField("r", T.StructType([T.StructField("x", T.BooleanType())]))])
-    in_object = F.from_json(F.concat(F.lit('{"r":'), text, F.lit("}")), member, _STRICT)
-    known = F.filter(keys, lambda key: key.isin(record.names))
-    good = [
-        F.size(objects) == 1,
-        ~F.contains(text, F.lit("]")) | in_object["r"].isNotNull(),
-        F.size(known) == F.size(F.array_distinct(known)),
-    ]
-    fields = []
+    in_array = F.concat(F.lit("["), text, F.lit("]"))
+    parsed = F.from_json(in_array, T.ArrayType(wire), _STRICT)
+    # One row per message: an array of several objects keeps its first, and is rejected below.
+    rows = df.select("*", F.posexplode_outer(parsed).alias("_pos", "_only"))
+    rows = rows.filter(F.coalesce("_pos", F.lit(0)) == 0)
+
+    good, fields = [], []
+    present = F.lit(len(record.fields) - len(optional))
     for column in record.fields:
-        cell = only[column.name]
+        cell = F.col("_only")[column.name]
         content, fits = _checked(cell, column.dataType)
         if column.name in optional:
-            absent = ~F.array_contains(keys, column.name)
+            absent = ~F.array_contains(F.json_object_keys(text), column.name)
             fits = F.when(cell.isNull(), absent).otherwise(fits)
             content = F.coalesce(content, F.lit(optional[column.name]).cast(column.dataType))
+            present = present + cell.isNotNull().cast("int")
         good.append(fits)
         fields.append(content.alias(column.name))
+    good.append(_one_plain_object(text, in_array, record, present))
     valid = F.coalesce(reduce(lambda left, right: left & right, good), F.lit(False))
-    return rows.select(*df.columns, F.when(valid, F.struct(*fields)).alias("record"))
+    # Fields stay in a struct: as columns beside a condition on all of them they would multiply
+    # the optimizer's inferred constraints with every field.
+    return rows.select(*df.columns, valid.alias("valid"), F.struct(*fields).alias("record"))
+
+
+def _one_plain_object(text: Column, in_array: Column, record: T.StructType, present: Column) -> Column:
+    """No repeated known field, no second object, nothing that closes the array early.
+
+    Every field has a colon. Where the colons are as many as the different known fields found, and
+    no bracket occurs, there is room for none of these; only other texts are looked at closely.
+    A text that ends the array itself has a bracket where a member of an object cannot have one.
+    """
+    colons = F.size(F.split(text, ":")) - 1
+    plain = (colons == present) & ~F.contains(text, F.lit("]"))
+    known = F.filter(F.json_object_keys(text), lambda key: key.isin(record.names))
+    as_member = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit("}")))
+    closely = (
+        (F.size(known) == F.size(F.array_distinct(known)))
+        & (F.json_array_length(in_array) == 1)
+        & (F.size(as_member) == 1)
+    )
+    return F.when(plain, F.lit(True)).otherwise(closely)
 
 
 def _wire_type(kind: T.DataType) -> T.DataType:
@@ -140,5 +154,5 @@ def decode_strict(
 ) -> tuple[DataFrame, DataFrame]:
     """The decoded records, and the messages that hold none."""
     decoded = decode_json(df, record, optional, value)
-    good = decoded.filter(F.col("record").isNotNull()).select("record.*")
-    return good, decoded.filter(F.col("record").isNull()).drop("record")
+    good = decoded.filter("valid").select("record.*")
+    return good, decoded.filter("not valid").select(*df.columns)

@@ -26,9 +26,9 @@ def ingest(stream: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     counted = decoded.observe(
         OBSERVED,
         F.count("*").alias("received"),
-        F.count("record").alias("kept"),
+        F.count_if("valid").alias("kept"),
     )
-    good = counted.filter(F.col("record").isNotNull()).select("record.*")
+    good = counted.filter("valid").select("record.*")
     return records.project_record(records.enrich(good), extra)
 
 
@@ -61,7 +61,7 @@ def stream_ingest(
 
 def stream_rejects(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Keep the messages the ingest drops, as key and value, in a table of their own."""
-    rejected = messages.decode_json(stream).filter(F.col("record").isNull()).drop("record")
+    _, rejected = messages.decode_strict(stream)
     writer = rejected.writeStream.format("parquet").outputMode("append").option("path", out)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
