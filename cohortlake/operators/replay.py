@@ -66,10 +66,10 @@ def _with_sequence_of_copies(df: DataFrame, order: Sequence[str | Column], name:
         F.count("*").alias("_copies")
     )
     numbered = _numbered(counted, order, weight="_copies")
-    step = F.lit(_COPIES_PER_CHUNK)
+    step, zero = F.lit(_COPIES_PER_CHUNK).cast("bigint"), F.lit(0).cast("bigint")
     chunks = numbered.withColumn(
-        "_from", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, step))
-    ).repartition()
+        "_from", F.explode(F.sequence(zero, F.col("_copies") - 1, step))
+    ).repartition("_first", "_from")
     last = F.least(F.col("_from") + step, F.col("_copies")) - 1
     offset = F.explode(F.sequence("_from", last))
     return chunks.withColumn("_offset", offset).select(
