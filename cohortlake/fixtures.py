@@ -116,6 +116,16 @@ TARGET_RATE = "(case user_id % 4 when 0 then 0 when 1 then 100 when 2 then 500 e
 SCALE_FACTOR = "(case user_id % 3 when 0 then 1 when 1 then 5 else 10 end)"
 
 
+def epoch_us(ts: str) -> str:
+    """Microseconds of a zone-free time since 1970, whatever the session's time zone is."""
+    age = f"({ts} - timestamp_ntz'1970-01-01 00:00:00')"
+    return (
+        f"(extract(day from {age}) * 86400000000L + extract(hour from {age}) * 3600000000L"
+        f" + extract(minute from {age}) * 60000000L"
+        f" + cast(extract(second from {age}) * 1000000 as bigint))"
+    )
+
+
 def sends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per simulated send: run key, outcome, time in microseconds and durations."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -124,8 +134,7 @@ def sends(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"cast({TARGET_RATE} as bigint) as target_rate",
         f"cast({SCALE_FACTOR} as bigint) as scale_factor",
         f"{SEND_OK} as ok",
-        # Differences from a fixed instant do not depend on the session's time zone.
-        "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as ts_us",
+        f"{epoch_us('ts')} as ts_us",
         f"{SEND_US} as send_us",
         f"{QUEUE_US} as queue_us",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ CASES = 290
 EXTRA_FIELD, NO_OPTIONALS = 16, 17
 
 
-def _set(name: str, text: str) -> callable:
+def _set(name: str, text: str) -> Callable[[Column], Column]:
     return lambda json: F.regexp_replace(json, rf'"{name}":[^,}}]+', f'"{name}":{text}')
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake import schema
-from cohortlake.fixtures import sends, students
+from cohortlake.fixtures import epoch_us, sends, students
 from cohortlake.functions import scalars
 from cohortlake.operators import gates, latency, metrics, models, records, replay, reports, sampling
 from cohortlake.plans import cases
@@ -348,7 +348,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     # Whole hours, so that times tie and the tie-break decides.
-    hour = F.expr("timestampdiff(HOUR, timestamp_ntz'1970-01-01 00:00:00', ts)")
+    hour = F.expr(f"{epoch_us('ts')} div 3600000000")
     rows = events.select("user_id", "event_id", hour.alias("hour"), "event_type", "value")
     return reports.latest_per_key(rows, ["user_id"], "hour", "event_id")
 
