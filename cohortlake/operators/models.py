@@ -123,12 +123,9 @@ def prepare_training(
     cluster has cores; large tables already come in enough of them.
     """
     used = records.resolve_features(df, columns)
-    rows = records.drop_invalid_features(records.known_labels(df), used)
-    train, test = sampling.split(rows, key)
-    # Weights count all training rows, also those the assembler will skip for a missing feature.
-    labelled, _ = sampling.split(records.known_labels(df), key)
-    weights = sampling.class_weights(labelled)
-    weighted = sampling.apply_weights(train, weights, name=WEIGHT)
+    train, test = sampling.split(records.known_labels(df), key)
+    # Weights count all training rows; the assembler then skips those with a missing feature.
+    weighted = sampling.apply_weights(train, sampling.class_weights(train), name=WEIGHT)
     if partitions is not None:
         weighted = weighted.repartition(partitions, key)
     features = fit_features(train, used)

@@ -182,3 +182,29 @@ def test_live_stream_stops_when_idle(spark, tmp_path):
     )
     counted = ingest.drain(running, idle_s=4.0, timeout_s=90)
     assert (counted.received, counted.kept) == (1, 1) and not running.isActive
+
+
+def test_paced_replay(spark, tmp_path):
+    import time
+
+    from cohortlake.operators.replay import with_sequence
+    from cohortlake.streaming.replay import replay_stream
+
+    numbered = with_sequence(spark.createDataFrame([("a",), ("b",), ("c",)], "target string"), ["target"])
+    stream = replay_stream(numbered, rate=5, iterations=2)
+    out = str(tmp_path / "out")
+    writer = stream.writeStream.format("parquet").option("path", out)
+    query = writer.option("checkpointLocation", str(tmp_path / "mark")).start()
+    deadline, found = time.monotonic() + 90, []
+    while len(found) < 6 and time.monotonic() < deadline:
+        time.sleep(1)
+        if query.lastProgress is not None and (tmp_path / "out" / "_spark_metadata").exists():
+            found = spark.read.schema(stream.schema).parquet(out).collect()
+    query.stop()
+    assert sorted((r["event_id"], r["target"]) for r in found) == [
+        (f"{i}_{s}", t) for i in (0, 1) for s, t in enumerate("abc")
+    ]
+    times = [r["event_ts_ms"] for r in sorted(found, key=lambda r: (r["iteration"], r["seq"]))]
+    assert all(later - earlier >= 190 for earlier, later in zip(times, times[1:]))
+    with pytest.raises(ValueError):
+        replay_stream(numbered, rate=0)
