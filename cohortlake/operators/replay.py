@@ -67,9 +67,12 @@ def _with_sequence_of_copies(df: DataFrame, order: Sequence[str | Column], name:
     )
     numbered = _numbered(counted, order, weight="_copies")
     step, zero = F.lit(_COPIES_PER_CHUNK).cast("bigint"), F.lit(0).cast("bigint")
+    # A given number of partitions: these few rows are small now, but each is about to become a
+    # whole chunk, so they must not be merged into one task for their size.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = numbered.withColumn(
         "_from", F.explode(F.sequence(zero, F.col("_copies") - 1, step))
-    ).repartition("_first", "_from")
+    ).repartition(spread, "_first", "_from")
     last = F.least(F.col("_from") + step, F.col("_copies")) - 1
     offset = F.explode(F.sequence("_from", last))
     return chunks.withColumn("_offset", offset).select(

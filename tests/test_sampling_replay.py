@@ -55,9 +55,12 @@ def test_sequence_descending_and_empty(spark):
 def test_sequence_of_copies(spark, monkeypatch):
     monkeypatch.setattr(replay, "_COPIES_PER_CHUNK", 16)
     rows = [(1, "a")] * 500 + [(0, "b")] * 3 + [(2, None)] * 40
-    numbered = replay.with_sequence(
+    frame = replay.with_sequence(
         spark.createDataFrame(rows, "k int, v string"), ["k"], copies=True
-    ).collect()
+    )
+    numbered = frame.collect()
+    tasks = frame.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 300
     found = {r["seq"]: (r["k"], r["v"]) for r in numbered}
     assert len(numbered) == len(found) == 543
     assert found == dict(enumerate(sorted(rows, key=lambda r: r[0])))
