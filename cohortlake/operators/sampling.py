@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from cohortlake import schema
 
 
-def count_rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("rows"))
+def count_rows(df: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
+    return df.groupBy(*by).agg(F.count("*").alias("rows"))
 
 
 def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
-    return df.groupBy(label).agg(F.count("*").alias("rows"))
+    return count_rows(df, [label])
 
 
 def class_weights(

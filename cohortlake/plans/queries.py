@@ -284,12 +284,8 @@ def split_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = sampling.split(students(spark, sf_dir))
-    sizes = [
-        sampling.count_rows(part).withColumn("part", F.lit(name))
-        for name, part in (("train", train), ("test", test))
-    ]
-    return sizes[0].unionByName(sizes[1])
+    part = F.when(F.col("is_train"), "train").otherwise("test").alias("part")
+    return sampling.count_rows(sampling.with_split(students(spark, sf_dir)), [part])
 
 
 @query
