@@ -24,7 +24,7 @@ class StudyContext:
         self.spark = spark
         path = fresh_path(spark, "training-records")
         enriched = records.enrich(students(spark, sf_dir, spread_out=True))
-        batches.write_batches(records.project_record(enriched, ["event_seq"]), path, rows_per_file=0)
+        batches.write_batches(records.project_record(enriched, ["event_seq"]), path)
         self.labelled = records.known_labels(batches.scan_parquet(spark, path))
         self._training: models.TrainingSet | None = None
         self._models: dict[str, Model] = {}

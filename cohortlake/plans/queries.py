@@ -75,7 +75,8 @@ def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def batched_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "batches")
-    batches.write_batches(records.project_record(records.enrich(_whole(spark, sf_dir))), path)
+    enriched = records.project_record(records.enrich(_whole(spark, sf_dir)))
+    batches.write_batches(enriched, path, rows_per_file=schema.BATCH_ROWS)
     batches.assert_nonempty(spark, path)
     return batches.rows_per_file(spark, path).agg(
         F.sum("rows").alias("total_rows"),
@@ -86,7 +87,7 @@ def batched_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "records")
-    batches.write_batches(records.project_record(records.enrich(_whole(spark, sf_dir))), path, rows_per_file=0)
+    batches.write_batches(records.project_record(records.enrich(_whole(spark, sf_dir))), path)
     return records.known_labels(batches.scan_parquet(spark, path))
 
 
@@ -115,7 +116,7 @@ def _report_folder(spark: SparkSession, sf_dir: str) -> str:
         "other_1700000004.json": '{"target_rate": 4, "avg_rate": 1.0}',
     }
     for name, text in spoiled.items():
-        results._write_file(spark, f"{folder}/{name}", text)
+        results.write_document(spark, f"{folder}/{name}", text)
     return folder
 
 

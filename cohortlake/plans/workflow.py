@@ -65,7 +65,7 @@ def ingest_messages(
     out: str,
     checkpoint: str,
     path: str | None = None,
-    rows_per_file: int = schema.BATCH_ROWS,
+    rows_per_file: int = schema.FILE_ROWS,
     **options,
 ) -> ingest.IngestCounters:
     """Take in what the topic or directory holds beyond the checkpoint; fail if nothing is stored."""

@@ -83,9 +83,13 @@ DASHBOARD_COLUMNS = [
     "label",
 ]
 
+# The random seed and the rows of one batch of the small replays.
 SEED = 42
 BATCH_ROWS = 5000
 
+# Rows of one file where nothing else is asked for: some hundred bytes each, so about a block.
+FILE_ROWS = 1_000_000
+
 NUMERIC_NAMES = [name for name, _, _ in NUMERIC_FIELDS]
 REQUIRED = [*NUMERIC_NAMES, TARGET]
 FEATURES = [name for name in NUMERIC_NAMES if name not in NOT_FEATURES] + DERIVED

@@ -18,13 +18,13 @@ class EmptyOutputError(RuntimeError):
 def write_batches(
     df: DataFrame,
     path: str,
-    rows_per_file: int = schema.BATCH_ROWS,
+    rows_per_file: int = schema.FILE_ROWS,
     mode: str = "overwrite",
 ) -> None:
     """Snappy Parquet with a bound on the rows per file.
 
-    The default keeps the batch size of the small replays; for large tables pass a bound of some
-    million rows, or 0 for none, so that files reach the size of a block.
+    The default lets files of large tables reach the size of a block; ``schema.BATCH_ROWS`` gives
+    the small batches of a replay.
     """
     writer = df.write.mode(mode).option("compression", "snappy")
     writer.option("maxRecordsPerFile", rows_per_file).parquet(path)

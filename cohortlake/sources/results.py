@@ -7,6 +7,7 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlake import schema
 from cohortlake.functions import scalars
@@ -29,7 +30,8 @@ def run_reports_of(summary: DataFrame, impl: str = "spark") -> DataFrame:
     )
 
 
-def _write_file(spark: SparkSession, path: str, text: str) -> None:
+def write_document(spark: SparkSession, path: str, text: str) -> None:
+    """One small file under a name of its own, on whatever file system the path names."""
     fs, hadoop_path = file_system(spark, path)
     stream = fs.create(hadoop_path, True)
     try:
@@ -45,7 +47,7 @@ def write_run_report(spark: SparkSession, report: Row, folder: str, epoch_s: int
         f"_scale{report['scale_factor']}_{epoch_s}.json"
     )
     path = f"{folder}/{name}"
-    _write_file(spark, path, json.dumps(report.asDict(recursive=True), indent=2))
+    write_document(spark, path, json.dumps(report.asDict(recursive=True), indent=2))
     return path
 
 
@@ -84,11 +86,9 @@ def read_run_reports(spark: SparkSession, folder: str, glob: str = REPORT_GLOB)
     Documents that are not valid JSON, or whose name carries no time, are skipped. A missing
     folder gives no rows.
     """
-    reader = spark.read.schema(schema.RUN_REPORT).options(
-        multiLine=True, pathGlobFilter=glob, mode="PERMISSIVE"
-    )
+    reader = spark.read.option("pathGlobFilter", glob)
     try:
-        loaded = reader.json(folder)
+        documents = reader.text(folder, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -96,10 +96,19 @@ def read_run_reports(spark: SparkSession, folder: str, glob: str = REPORT_GLOB)
         return empty.withColumns(
             {"file_name": F.lit(""), "reported_at": F.lit(None).cast("bigint")}
         )
+    # As an array's only element, so that anything beside the one object breaks the array.
+    in_array = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    parsed = F.from_json(
+        in_array,
+        T.ArrayType(schema.RUN_REPORT),
+        {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"},
+    )
+    loaded = documents.select(F.col("_metadata.file_name").alias("file_name"), parsed.alias("all"))
+    loaded = loaded.filter(F.size("all") == 1).select("file_name", F.col("all")[0].alias("report"))
     named = loaded.select(
-        *schema.RUN_REPORT.names,
-        F.col("_metadata.file_name").alias("file_name"),
-        scalars.file_timestamp(F.col("_metadata.file_name")).alias("reported_at"),
+        "report.*",
+        "file_name",
+        scalars.file_timestamp(F.col("file_name")).alias("reported_at"),
     )
     return named.filter(F.col("reported_at").isNotNull() & F.col("target_rate").isNotNull())
 

@@ -36,7 +36,7 @@ def stream_ingest(
     stream: DataFrame,
     out: str,
     checkpoint: str,
-    rows_per_file: int = schema.BATCH_ROWS,
+    rows_per_file: int = schema.FILE_ROWS,
     extra: tuple[str, ...] = (),
     until_drained: bool = True,
     interval: str = "10 seconds",

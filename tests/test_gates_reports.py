@@ -60,6 +60,10 @@ def folder(tmp_path):
     report("producer_a_rate8_scale1_60.json", '{"target_rate": -8, "avg_rate": 1}')
     report("producer_a_rate7_scale1_60.json", "nothing")
     report("producer_a_rate6_scale1_last.json", '{"target_rate": 6, "avg_rate": 1}')
+    report("producer_a_rate5_scale1_61.json", '[{"target_rate": 5, "avg_rate": 1}]')
+    report("producer_a_rate4_scale1_62.json", '{"target_rate": 4, "avg_rate": 1} more')
+    report("producer_a_rate3_scale1_63.json", '{"target_rate": 3, "avg_rate": "1"}')
+    report("producer_a_rate2_scale1_64.json", "")
     report("consumer_1.json", '{"target_rate": 5, "avg_rate": 1}')
     return tmp_path
 
