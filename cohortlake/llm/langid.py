@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ CALIBRATION = 5
 MAX_NGRAMS = 1_500_000
 #: Words whose scores a Python worker remembers.
 REMEMBERED = 400_000
-#: Calibration rows beyond a bound, and the factor by which a rejected text is beyond it.
-TAIL, SLACK = 0.002, 1.5
+#: Calibration rows beyond a bound. A language's bound is at least as far off as its own texts reach
+#: and as half the way to texts of the other languages.
+TAIL, HALF_WAY = 0.002, 0.5
 #: Letters from which on a longer text does not make the score surer.
 SURE_LETTERS = 60
 
@@ -76,8 +78,9 @@ class KneserNey:
     share: list[np.ndarray]
     weight: list[np.ndarray]
     floor: np.ndarray
-    #: Per language: centre, width and width at one letter of what its own texts score.
+    #: Per language: the cross-entropy up to which a text is taken, and what one letter adds to it.
     bounds: np.ndarray
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def bits(self, runs: list[str], owner: np.ndarray, words: int) -> np.ndarray:
         """Per word its bits in each language and its predicted letters; ``owner`` has the word of each run."""
@@ -146,11 +149,22 @@ def estimate(counts: dict[str, dict[str, int]]) -> KneserNey:
         share.append(s[order])
         weight.append(w[order])
     floor = np.full(len(languages), 1 / (len(alphabet) + 1))
-    return KneserNey(languages, keys, share, [*weight, root], floor, np.zeros((len(languages), 3)))
+    return KneserNey(languages, keys, share, [*weight, root], floor, np.full((len(languages), 2), np.inf))
+
+
+_latest: dict[str, Scorer] = {}
 
 
 def scorer(model: KneserNey) -> Scorer:
-    """Predictions for lists of texts. Words recur, so each is scored once as long as it is remembered."""
+    """The scorer of ``model``, which a Python worker keeps from task to task."""
+    if model.name not in _latest:
+        _latest.clear()
+        _latest[model.name] = _scorer(model, _verdict)
+    return _latest[model.name]
+
+
+def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict]) -> Scorer:
+    """What ``say`` makes of the bits of each text. Words recur, so each is scored once as long as it is remembered."""
     known: dict[bytes, int] = {}
     table = np.zeros((1, len(model.languages) + 1))
 
@@ -162,25 +176,24 @@ def scorer(model: KneserNey) -> Scorer:
             runs += found
             owner += [i] * len(found)
         fresh = model.bits(runs, np.array(owner, int), len(words))
-        while len(known) + len(words) > len(table):
+        first = len(known)
+        while first + len(words) > len(table):
             table = np.concatenate([table, np.zeros_like(table)])
-        table[len(known) : len(known) + len(words)] = fresh
-        known.update((w, len(known) + i) for i, w in enumerate(words))
+        table[first : first + len(words)] = fresh
+        known.update((w, first + i) for i, w in enumerate(words))
 
     def score(texts: list[str | None]) -> list[dict]:
         split = [(text or "").encode().lower().split() for text in texts]
-        size = len(known)
         new = list(set().union(*split) - known.keys())
         if new:
             learn(new)
         said = []
         for words in split:
             places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            said.append(_verdict(model, table[places].sum(axis=0)))
+            said.append(say(model, table[places].sum(axis=0)))
         if len(known) > REMEMBERED:
             for word in new:  # words met early are the common ones
                 del known[word]
-            assert len(known) == size
         return said
 
     return score
@@ -193,8 +206,8 @@ def _verdict(model: KneserNey, sums: np.ndarray) -> dict:
     entropy = sums[:-1] / letters
     best = int(np.argmin(entropy))  # of equal ones the first by name
     odds = np.exp2(-(entropy - entropy[best]) * min(letters, SURE_LETTERS))
-    centre, width, short = model.bounds[best]
-    allowed = centre + SLACK * (width + short / np.sqrt(letters))
+    bound, short = model.bounds[best]
+    allowed = bound + short / np.sqrt(letters)
     return {
         "lang_pred": model.languages[best],
         "score": float(1 / odds.sum()),
@@ -255,29 +268,31 @@ def learn(docs: DataFrame, learnable: Column) -> KneserNey | None:
     if not counts:
         return None
     model = estimate(counts)
-    fields = "lang_pred string, score double, cross_entropy double, rejected boolean, letters long"
-    found = annotate(sample.where(calibrates), ["lang"], "found", fields, lambda: _with_letters(model))
-    own = found.where("found.lang_pred = lang").select("lang", "found.cross_entropy", "found.letters").collect()
-    for j, language in enumerate(model.languages):
-        model.bounds[j] = _bounds([(r.cross_entropy, r.letters) for r in own if r.lang == language])
-    return model
+    own = annotate(
+        sample.where(calibrates), ["lang"], "found", "letters long, entropy array<double>", lambda: _scorer(model, _raw)
+    )
+    return _calibrated(model, own.where("found.letters > 0").select("lang", "found.*").collect())
 
 
-def _with_letters(model: KneserNey) -> Scorer:
-    score = scorer(model)
-    return lambda texts: [s | {"letters": sum(map(len, _LETTERS.findall(t or "")))} for s, t in zip(score(texts), texts)]
+def _raw(model: KneserNey, sums: np.ndarray) -> dict:
+    return {"letters": int(sums[-1]), "entropy": (sums[:-1] / max(1, sums[-1])).tolist()}
 
 
-def _bounds(own: list[tuple[float, int]]) -> tuple[float, float, float]:
-    """Centre, width for long texts and extra width by the root of the letters; endless without texts."""
-    if not own:
-        return 0.0, np.inf, 0.0
-    entropy, letters = (np.array(x, float) for x in zip(*own))
-    centre = float(np.median(entropy))
-    long = entropy[letters >= np.median(letters)]
-    width = max(float(np.quantile(long, 1 - TAIL)) - centre, 0.05 * centre)
-    short = float(np.quantile(np.maximum(entropy - centre - width, 0) * np.sqrt(letters), 1 - TAIL))
-    return centre, width, max(short, centre)
+def _calibrated(model: KneserNey, rows: list) -> KneserNey:
+    """Set each language's bound from calibration texts of its own and of the others."""
+    bounds = np.full((len(model.languages), 2), np.inf)
+    for j, language in enumerate(model.languages):
+        own = np.array([(r.entropy[j], r.letters) for r in rows if r.lang == language and min(r.entropy) == r.entropy[j]])
+        other = np.array([r.entropy[j] for r in rows if r.lang != language and min(r.entropy) < r.entropy[j]])
+        if not len(own):
+            continue
+        centre = np.median(own[:, 0])
+        reach = np.quantile(own[:, 0], 1 - TAIL)
+        foreign = np.median(other) if len(other) else np.log2(1 / model.floor[j])
+        bound = max(reach, centre + HALF_WAY * (foreign - centre))
+        short = np.quantile(np.maximum(own[:, 0] - bound, 0) * np.sqrt(own[:, 1]), 1 - TAIL)
+        bounds[j] = bound, max(short, centre)
+    return replace(model, bounds=bounds, name=uuid.uuid4().hex)
 
 
 FIELDS = "lang_pred string, score double, cross_entropy double, rejected boolean"
