@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import chat, langid, packing, quality, sharding, simhash
+from cohortlake.llm import chat, embeddings, langid, packing, quality, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(conversations.select(*more.columns).unionByName(more))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     text = F.coalesce("record.text", F.lit(""))
@@ -61,6 +65,7 @@ REGISTRY = {
     "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
+    "op9_embeddings": op9_embeddings,
     "op10_sharding": op10_sharding,
 }
 
