@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import chat, embeddings, langid, packing, quality, sharding, simhash
+from cohortlake.llm import chat, embeddings, html, langid, packing, quality, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
     ranked = quality.rank(docs, labels, ["doc_id"], quality.learnable(F.col("doc_id")))
@@ -60,6 +64,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_html": op1_html,
     "op2_quality": op2_quality,
     "op3_language": op3_language,
     "op4_simhash": op4_simhash,
@@ -69,4 +74,21 @@ REGISTRY = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # The pages of the driver's tables hold one article of headings and paragraphs each.
+    "op1_html": r"""
+        SELECT page_id, url, text, length(text) AS n_chars
+        FROM (
+            SELECT page_id, url, trim(regexp_replace(decoded, '\s+', ' ', 'g')) AS text
+            FROM (
+                SELECT page_id, url, regexp_replace(replace(replace(replace(
+                    bare, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS decoded
+                FROM (
+                    SELECT page_id, url, regexp_replace(regexp_replace(
+                        regexp_extract(html, '<article>(.*)</article>', 1, 's'),
+                        '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS bare
+                    FROM pages
+                )
+            )
+        )""",
+}
