@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import chat, embeddings, html, langid, packing, quality, sharding, simhash
+from cohortlake.llm import chat, decontam, embeddings, html, langid, packing, quality, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(found.fp).alias("fingerprint"), "component_id")
 
 
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ REGISTRY = {
     "op2_quality": op2_quality,
     "op3_language": op3_language,
     "op4_simhash": op4_simhash,
+    "op5_decontam": op5_decontam,
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
     "op9_embeddings": op9_embeddings,
