@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import chat, decontam, embeddings, html, langid, packing, quality, sharding, simhash
+from cohortlake.llm import chat, decontam, embeddings, html, langid, packing, quality, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,23 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(conversations.select(*more.columns).unionByName(more))
 
 
+#: Replicas of the audited archive, and the ids whose records two of them have lost or changed.
+REPLICAS = ["first", "second", "third"]
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of three replicas of the pages as WARC files, two of which are damaged by a rule on the id."""
+    archive = warc.archive_pages(_table(spark, sf_dir, "pages"))
+    copies = archive.withColumn("replica", F.explode(F.lit(REPLICAS)))
+    aged = F.overlay("record", F.lit("1").cast("binary"), F.lit(8))  # WARC/1.0 becomes WARC/1.1
+    changed = (F.col("replica") == "second") & (F.col("record_id") % 97 == 13)
+    lost = (F.col("replica") == "third") & (F.col("record_id") % 101 == 7)
+    damaged = copies.where(~F.coalesce(lost, F.lit(False))).withColumn(
+        "record", F.when(changed, aged).otherwise(F.col("record"))
+    )
+    return warc.audit(warc.leaves(damaged), REPLICAS)
+
+
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +92,7 @@ REGISTRY = {
     "op5_decontam": op5_decontam,
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
+    "op8_warc": op8_warc,
     "op9_embeddings": op9_embeddings,
     "op10_sharding": op10_sharding,
 }
@@ -96,4 +114,23 @@ ORACLES: dict[str, str] = {
                 )
             )
         )""",
+    # Offsets are sums of the records before; the damaged records follow from the rule.
+    "op8_warc": r"""
+        WITH records AS (
+            SELECT page_id, 'pages-' || (page_id // 500) || '.warc' AS file,
+                   strlen('WARC/1.0..WARC-Type: resource..WARC-Record-ID: <urn:page:' || page_id
+                       || '>..WARC-Target-URI: ' || coalesce(url, '')
+                       || '..Content-Length: ' || strlen(coalesce(html, '')) || '....')
+                   + strlen(coalesce(html, '')) + 4 AS length
+            FROM pages
+        ), placed AS (
+            SELECT page_id, file, length, coalesce(sum(length) OVER (
+                PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+            FROM records
+        )
+        SELECT 'second' AS replica, file, CAST(place AS BIGINT) AS "offset", length, 'changed' AS state
+        FROM placed WHERE page_id % 97 = 13
+        UNION ALL
+        SELECT 'third', file, CAST(place AS BIGINT), length, 'missing'
+        FROM placed WHERE page_id % 101 = 7""",
 }
