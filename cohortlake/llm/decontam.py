@@ -304,14 +304,14 @@ def annotate_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``ITEMS_AT_ONCE`` items; they are never shuffled, and no pair of passages leaves its task.
     """
     kind = "array<struct<" + ", ".join(f.replace(" ", ": ") for f in FIELDS.split(", ")) + ">>"
-    whole = F.struct(*(docs[c] for c in docs.columns)).alias("doc")
-    found = docs.select(whole, docs["text"].cast("string").alias("text"), F.array().cast(kind).alias("leaks"))
+    columns = [docs[c].cast("string").alias(c) if c == "text" else docs[c] for c in docs.columns]
+    found = docs.select(F.struct(*columns).alias("doc"), F.array().cast(kind).alias("leaks"))
     schema = found.schema
     for items in _blocks(benchmark):
         index = build_index(docs, items)
         if index:
             found = found.mapInArrow(_searcher(index), schema)
-    return found.select("doc", "leaks")
+    return found
 
 
 def _searcher(index: Index):
@@ -319,9 +319,9 @@ def _searcher(index: Index):
         for part in parts:
             for at in range(0, part.num_rows, ROWS_AT_ONCE):
                 rows = part.slice(at, ROWS_AT_ONCE)
-                more = search(index, rows.column(1).to_pylist())
-                leaks = [a + b for a, b in zip(rows.column(2).to_pylist(), more)]
-                columns = [rows.column(0), rows.column(1), pa.array(leaks, rows.schema.field(2).type)]
+                more = search(index, rows.column(0).field("text").to_pylist())
+                leaks = [a + b for a, b in zip(rows.column(1).to_pylist(), more)]
+                columns = [rows.column(0), pa.array(leaks, rows.schema.field(1).type)]
                 yield pa.RecordBatch.from_arrays(columns, rows.schema.names)
 
     return batches

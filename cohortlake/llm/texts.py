@@ -26,8 +26,11 @@ def annotate(
     """
     found = StructType.fromDDL(fields)
     kind = to_arrow_type(found)
-    plain = docs.select(*columns, F.col("text").cast("string").alias("_text"))
-    schema = StructType([*plain.schema.fields[:-1], StructField(name, found)])
+    text = F.col("text").cast("string")
+    carried = [text if c == "text" else F.col(c) for c in columns]
+    plain = docs.select(*(c.alias(n) for c, n in zip(carried, columns)), *([] if "text" in columns else [text.alias("_text")]))
+    at_text, kept = (columns.index("text") if "text" in columns else len(columns)), len(columns)
+    schema = StructType([*plain.schema.fields[:kept], StructField(name, found)])
     names = schema.names
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,8 +38,8 @@ def annotate(
         for part in parts:
             for at in range(0, part.num_rows, ROWS_AT_ONCE):
                 rows = part.slice(at, ROWS_AT_ONCE)
-                said = pa.array(scorer(rows.column(rows.num_columns - 1).to_pylist()), kind)
-                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], said], names)
+                said = pa.array(scorer(rows.column(at_text).to_pylist()), kind)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:kept], said], names)
 
     return plain.mapInArrow(batches, schema)
 
