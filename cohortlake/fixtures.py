@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlake.schema import NUMERIC_FIELDS
-from cohortlake.session import spread
 
 # Fixed values: (column, rule, arguments); ``I`` = (modulus, first), ``D`` = (modulus, divisor,
 # first), ``APPROVED`` and ``GRADE`` = (salt of the enrolled count). The salt is the row number.
@@ -95,15 +94,15 @@ def student_columns() -> dict[str, str]:
     return columns
 
 
-def students(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+def students(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The 39-column record view over ``orders``.
 
-    ``spread_out`` shares a small scan's two narrow columns among the cores before the costly
-    per-row work of encoding, parsing or writing whole records.
+    ``partitions`` deals a scan of few splits, two narrow columns, into so many tasks before the
+    costly per-row work of encoding, parsing or writing whole records.
     """
     assert [rule[0] for rule in _RULES] == [field[0] for field in NUMERIC_FIELDS]
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus")
-    rows = spread(orders) if spread_out else orders
+    rows = orders.repartition(partitions) if partitions else orders
     return rows.selectExpr(*(f"{sql} as {name}" for name, sql in student_columns().items()))
 
 

@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 INT_MIN, INT_MAX = -2147483648, 2147483647
 
 
+# The letters that a decimal number or a special name may have, and what the JVM's parser takes besides:
+# type suffixes ("10d", "2.5f") and hexadecimal digits ("0x1p3").
+_LAST_DIGIT = "0123456789."
+
+
 def _number(cell: Column) -> Column:
-    # The JVM's parser takes a type suffix ("10d", "2.5f"), which is not a number in a data file.
-    return F.when(~cell.rlike(r"[0-9.][dDfF]\s*$"), cell.try_cast("double"))
+    """A decimal number, an infinity or a NaN; no pattern is matched, only characters are looked at."""
+    text = F.trim(cell)
+    suffix = F.lower(F.right(text, F.lit(1))).isin("d", "f") & F.contains(
+        F.lit(_LAST_DIGIT), F.substring(text, -2, 1)
+    )
+    hexadecimal = F.contains(F.lower(text), F.lit("x"))
+    return F.when(~(suffix | hexadecimal), cell.try_cast("double"))
 
 
 def lenient_int(cell: Column, default: int = 0) -> Column:

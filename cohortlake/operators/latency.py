@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions import histogram, scalars
 from cohortlake.operators.records import has_event_time
 
-_PARTS = 4096  # cuts of one histogram bucket in the second step of the exact percentiles
+_PART_BITS = 12  # a pass of the exact percentiles cuts a part into 4,096
 
 
 def latency_samples(
@@ -95,19 +96,22 @@ def latency_percentiles(
     value: str,
     per_mille: dict[str, int],
     by: str,
-    by_values: Sequence,
+    by_values: Sequence | None = None,
 ) -> DataFrame:
-    """Exact nearest-rank percentiles of a non-negative bigint column, per listed group.
+    """Exact nearest-rank percentiles of a non-negative bigint column, per group.
 
-    Selection by counting instead of sorting: a histogram finds the bucket that holds each rank, a
-    second pass counts 4,096 cuts of that bucket, a third counts the values of one cut. Every
-    pass combines on the map side and shuffles counts only, so neither a hot value nor the number
-    of rows matters, and no task ever holds the values themselves. The ranks being looked for are
-    one row per listed group and percentile, the proven size of each broadcast.
+    Selection by counting instead of sorting: a histogram finds the bucket that holds each rank, and
+    further passes count up to 4,096 cuts of the part found before, until a part is one value. Every
+    pass combines on the map side and shuffles counts only: a hot value or many rows do not matter,
+    and no task sees more than one bucket's cuts for a group and percentile. Negative values are an
+    error. All groups are taken from the data; ``by_values`` asks for some of them only.
     """
-    rows = df.filter(F.col(by).isin(list(by_values)) & F.col(value).isNotNull()).select(
-        by, F.col(value).cast("bigint").alias("_v")
-    )
+    rows = df.filter(F.col(value).isNotNull()).select(by, F.col(value).cast("bigint").alias("_v"))
+    if by_values is not None:
+        rows = rows.filter(F.col(by).isin(list(by_values)))
+    low, high = rows.agg(F.min("_v"), F.max("_v")).first()
+    if low is not None and low < 0:
+        raise ValueError(f"negative value: {low}")
     rows = rows.withColumn("_low", histogram.bucket_low(F.col("_v")))
 
     first = rows.groupBy(by, "_low").agg(F.count("*").alias("_rows"))
@@ -119,27 +123,30 @@ def latency_percentiles(
         .select(by, "_low", "_rows", "_total", F.inline(shares))
         .withColumn("_rank", _rank(F.col("_total"), F.col("_share")))
     )
-    buckets = _locate(wanted, [by, "_name"], "_low", "_rank").select(
-        by, "_name", "_low", "_rank", "_total"
+    # Where the ranks are: one row per group and percentile, which is all that the joins below add.
+    found = _locate(wanted, [by, "_name"], "_low", "_rank").select(
+        by, "_name", "_low", "_rank", "_total", F.lit(0).cast("bigint").alias("_cut")
     )
-
-    in_bucket = rows.join(F.broadcast(buckets), [by, "_low"])
     width = histogram.bucket_width(F.col("_v"))
-    step = F.greatest(_div(width, F.lit(_PARTS)), F.lit(1).cast("bigint"))
-    cut = _div(F.col("_v") - F.col("_low"), step)
-    second = in_bucket.groupBy(by, "_name", "_low", "_rank", "_total", cut.alias("_cut")).agg(
-        F.count("*").alias("_rows")
-    )
-    cuts = _locate(second, [by, "_name"], "_cut", "_rank").select(
-        by, "_low", "_name", "_rank", "_total", "_cut"
-    )
-
-    in_cut = rows.withColumn("_cut", cut).join(F.broadcast(cuts), [by, "_low", "_cut"])
-    third = in_cut.groupBy(by, "_name", "_rank", "_total", "_v").agg(F.count("*").alias("_rows"))
-    found = _locate(third, [by, "_name"], "_v", "_rank")
+    dropped = max(0, (high or 0).bit_length() - histogram.kept_bits())
+    before = width
+    for _ in range(math.ceil(dropped / _PART_BITS)):
+        inside = rows.withColumn("_cut", _div(F.col("_v") - F.col("_low"), before))
+        step = F.greatest(_div(before, F.lit(1 << _PART_BITS)), F.lit(1).cast("bigint"))
+        counts = (
+            inside.join(found, [by, "_low", "_cut"])
+            .withColumn("_cut", _div(F.col("_v") - F.col("_low"), step))
+            .groupBy(by, "_name", "_low", "_rank", "_total", "_cut")
+            .agg(F.count("*").alias("_rows"))
+        )
+        found = _locate(counts, [by, "_name"], "_cut", "_rank").select(
+            by, "_name", "_low", "_rank", "_total", "_cut"
+        )
+        before = step
+    exact = F.col("_low") + F.col("_cut")
     return found.groupBy(by).agg(
         F.max("_total").alias("samples"),
-        *(F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in per_mille),
+        *(F.max(F.when(F.col("_name") == name, exact)).alias(name) for name in per_mille),
     )
 
 
@@ -158,9 +165,12 @@ def run_summary(
 
 
 def mean_latency_s(df: DataFrame, now_ms: int, ts: str = "event_ts_ms") -> DataFrame:
-    """Rows that carry an event time and their mean age in seconds, NULL if there are none."""
-    age = scalars.latency_ms(F.lit(now_ms).cast("bigint"), F.col(ts))
+    """Rows that carry an event time and their mean age in seconds.
+
+    NULL if there are none, and if the mean is negative: such stamps lie ahead and measure nothing.
+    """
+    mean = F.avg(scalars.latency_ms(F.lit(now_ms).cast("bigint"), F.col(ts)))
     return has_event_time(df, ts).agg(
         F.count("*").alias("stamped_rows"),
-        scalars.ms_to_s(F.avg(age)).alias("e2e_latency_s"),
+        F.when(mean >= 0, scalars.ms_to_s(mean)).alias("e2e_latency_s"),
     )

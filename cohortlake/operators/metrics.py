@@ -65,6 +65,29 @@ def metrics_from_confusion(confusion: DataFrame, by: Sequence[str] = (), digits:
     )
 
 
+def metric_facts(scored: DataFrame, by: Sequence[str], classes: int = 3) -> DataFrame:
+    """Per group: rows counted, and whether the metrics agree with each other and beat guessing."""
+    confusion = confusion_matrix(scored, by=by)
+    per_label = confusion.groupBy(*by, "label").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(F.col("prediction").between(0, classes - 1), F.col("rows")).otherwise(0)).alias("known"),
+    )
+    totals = per_label.groupBy(*by).agg(
+        F.sum("rows").alias("test_rows"),
+        F.sum("known").alias("with_class"),
+        (F.max("rows") / F.sum("rows")).alias("majority"),
+    )
+    in_range = [F.col(name).between(0, 1) for name in METRICS]
+    return metrics_from_confusion(confusion, by).join(totals, list(by)).select(
+        *by,
+        "test_rows",
+        "with_class",
+        (F.abs(F.col("recall") - F.col("accuracy")) <= 1.01e-4).alias("recall_is_accuracy"),
+        (F.col("accuracy") > F.col("majority")).alias("beats_majority"),
+        (in_range[0] & in_range[1] & in_range[2] & in_range[3]).alias("in_range"),
+    )
+
+
 def classification_metrics(
     df: DataFrame,
     label: str = "label",

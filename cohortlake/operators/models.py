@@ -21,9 +21,14 @@ from pyspark.sql import functions as F
 
 from cohortlake import schema
 from cohortlake.operators import metrics, records, sampling
+from cohortlake.session import discard, stored
 
 WEIGHT = "class_weight"
 
+#: Partitions of the training rows. Forests draw their samples by partition, so the same number gives
+#: the same trees on any cluster; give more for tables that do not fit into so many tasks.
+TRAINING_PARTITIONS = 16
+
 
 def assemble(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features_raw", handleInvalid="skip")
@@ -58,7 +63,8 @@ def feature_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def random_forest(weight: str | None = WEIGHT, seed: int = schema.SEED) -> Estimator:
-    # More memory for split statistics means fewer passes over the data per tree level.
+    # Trees, depth, feature choice and smallest node. More memory for split statistics
+    # means fewer passes over the data per tree level.
     forest = RandomForestClassifier(
         labelCol="label",
         featuresCol="features",
@@ -73,6 +79,7 @@ def random_forest(weight: str | None = WEIGHT, seed: int = schema.SEED) -> Estim
 
 
 def logistic_regression(weight: str | None = WEIGHT) -> Estimator:
+    # Iterations and family.
     regression = LogisticRegression(
         labelCol="label", featuresCol="features", maxIter=100, family="multinomial"
     )
@@ -80,6 +87,7 @@ def logistic_regression(weight: str | None = WEIGHT) -> Estimator:
 
 
 def decision_tree(seed: int = schema.SEED) -> Estimator:
+    # Fixed value: depth.
     return DecisionTreeClassifier(labelCol="label", featuresCol="features", maxDepth=10, seed=seed)
 
 
@@ -104,33 +112,39 @@ class TrainingSet:
     columns: list[str]
     train: DataFrame
     test: DataFrame
+    path: str
     fit_seconds: dict[str, float] = field(default_factory=dict)
 
     def close(self) -> None:
+        """Release the vectors and the written rows, which ``test`` reads too."""
         self.train.unpersist()
+        discard(self.train.sparkSession, self.path)
 
 
 def prepare_training(
     df: DataFrame,
     key: str = "event_seq",
     columns: Sequence[str] = tuple(schema.FEATURES),
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> TrainingSet:
     """Split labelled rows by key, weight the classes and fit the feature stages once.
 
-    The assembled training rows are read by every tree level and gradient step, so they are kept
-    in memory with overflow to disk. Give ``partitions`` when the input has fewer splits than the
-    cluster has cores; large tables already come in enough of them.
+    The used columns are written first: ranges, weights, vectors and tests then read finished columns,
+    whose derivations would otherwise be planned and computed again in each of these passes. The
+    training rows are dealt by a hash of key and row into ``partitions`` and sorted, whatever the
+    input's partitions are. Every tree level and gradient step reads their vectors, so these are kept
+    in memory with overflow to disk.
     """
     used = records.resolve_features(df, columns)
-    train, test = sampling.split(records.known_labels(df), key)
+    rows, path = stored(records.known_labels(df).select(*dict.fromkeys([key, "label", *used])), "training-rows")
+    train, test = sampling.split(rows, key)
     # Weights count all training rows; the assembler then skips those with a missing feature.
     weighted = sampling.apply_weights(train, sampling.class_weights(train), name=WEIGHT)
-    if partitions is not None:
-        weighted = weighted.repartition(partitions, key)
+    place = F.xxhash64(*rows.columns)
+    dealt = weighted.repartition(partitions, F.col(key), place).sortWithinPartitions(key, place)
     features = fit_features(train, used)
-    vectors = features.transform(weighted).select(key, "label", WEIGHT, "features")
-    return TrainingSet(features, used, vectors.persist(StorageLevel.MEMORY_AND_DISK), test)
+    vectors = features.transform(dealt).select(key, "label", WEIGHT, "features")
+    return TrainingSet(features, used, vectors.persist(StorageLevel.MEMORY_AND_DISK), test, path)
 
 
 def timed_fit(estimator: Estimator, df: DataFrame) -> tuple[Model, float]:

@@ -18,7 +18,7 @@ def with_sequence(
     df: DataFrame,
     order: Sequence[str | Column],
     name: str = "seq",
-    copies: bool = False,
+    copies: bool = True,
 ) -> DataFrame:
     """Number all rows from 0 in the given order, without a single-partition window.
 
@@ -27,8 +27,8 @@ def with_sequence(
     number, one row per shuffle partition, which is broadcast.
 
     Ties in ``order`` fall to a hash of the whole row, which also lets the range partitioner cut
-    through a hot key. Set ``copies`` when whole rows repeat often: identical rows are then
-    counted before the shuffle and put back afterwards in bounded chunks.
+    through a hot key. Identical rows are counted before the shuffle and put back afterwards in
+    bounded chunks; switch ``copies`` off where rows are known to be unique.
     """
     if copies:
         return _with_sequence_of_copies(df, order, name)
@@ -61,6 +61,29 @@ def _numbered(df: DataFrame, order: Sequence[str | Column], weight: str | None =
     return placed.withColumn("_first", F.col("_start") + inside)
 
 
+#: Blocks of files whose first numbers are broadcast (about 200 bytes each); more are joined without a hint.
+_BROADCAST_BLOCKS = 200_000
+
+
+def with_file_sequence(df: DataFrame, name: str = "seq") -> DataFrame:
+    """Number the rows of files from 0 in the order of files and lines, without moving a row.
+
+    ``df`` has the columns ``_file, _block, _row`` of a read with ``file_order``; they are dropped. The
+    rows are written as they were read, which pins them. A block of a file is read by one task, so a
+    row's place in it is known, and a prefix sum over one count per block gives the blocks' starts.
+    """
+    table = materialize(df, "file-sequence")
+    block = ["_file", "_block"]
+    sizes = table.groupBy(*block).agg(F.min("_row").alias("_least"), F.count("*").alias("_rows"))
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*block, "_least", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    if sizes.count() <= _BROADCAST_BLOCKS:
+        starts = F.broadcast(starts)
+    placed = table.join(starts, block)
+    kept = [c for c in df.columns if c not in (*block, "_row")]
+    return placed.select(*kept, (F.col("_start") + F.col("_row") - F.col("_least")).alias(name))
+
+
 def _with_sequence_of_copies(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     counted = df.groupBy(*(F.col(f"`{column}`") for column in df.columns)).agg(
         F.count("*").alias("_copies")
@@ -94,9 +117,15 @@ def stamp_event(
     start_ms: int | None = None,
     offset_ms: Column | None = None,
 ) -> DataFrame:
-    """Add ``event_id`` and ``event_ts_ms``: the current time, or a given start plus an offset."""
+    """Add ``event_id`` and ``event_ts_ms``: the time the row is sent, or a given start plus an offset.
+
+    Without a start the clock is read for every row when it passes, and an offset is an error: a
+    planned time that has not come is no stamp.
+    """
     if start_ms is None:
-        stamped = F.unix_millis(F.current_timestamp())
+        if offset_ms is not None:
+            raise ValueError("planned offsets need a start")
+        stamped = F.reflect(F.lit("java.lang.System"), F.lit("currentTimeMillis"))
     else:
         stamped = F.lit(start_ms).cast("bigint")
     if offset_ms is not None:

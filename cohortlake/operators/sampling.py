@@ -61,15 +61,26 @@ def key_percentile(key: Column) -> Column:
     return F.conv(digest, 16, 10).cast("bigint") % 100
 
 
+def split_key(df: DataFrame, key: str) -> Column:
+    """The text that decides a row's part: its key, or the whole row's text where that is missing.
+
+    A NULL or empty key names no row, so all such rows would otherwise fall into one part.
+    """
+    whole = F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns))
+    text = F.col(key).cast("string")
+    return F.when(F.coalesce(text, F.lit("")) == "", whole).otherwise(text)
+
+
 def with_split(
     df: DataFrame, key: str = "event_seq", pct: int = 80, name: str = "is_train"
 ) -> DataFrame:
     """Mark ``pct`` percent of the keys as training rows. No shuffle and no random state."""
-    return df.withColumn(name, key_percentile(F.col(key)) < pct)
+    return df.withColumn(name, key_percentile(split_key(df, key)) < pct)
 
 
 def split(df: DataFrame, key: str = "event_seq", pct: int = 80) -> tuple[DataFrame, DataFrame]:
-    chosen = key_percentile(F.col(key)) < pct
+    """The training rows and the others; every row is in one of them."""
+    chosen = key_percentile(split_key(df, key)) < pct
     return df.filter(chosen), df.filter(~chosen)
 
 

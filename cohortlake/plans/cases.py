@@ -98,3 +98,16 @@ def spoiled_cells(students: DataFrame) -> DataFrame:
             cell = F.coalesce(changes[name], cell)
         columns.append(cell.alias(f" {header}\t" if name in ("gender", "gdp") else header))
     return students.select(*columns)
+
+
+def with_note(students: DataFrame) -> DataFrame:
+    """The records with a text cell that a delimited file must quote or keep the blanks of."""
+    k = F.col("event_seq") % 5
+    note = (
+        F.when(k == 0, "  padded ")
+        .when(k == 1, "two\nlines")
+        .when(k == 2, "p;q,r")
+        .when(k == 3, 'say "so"')
+        .otherwise("plain")
+    )
+    return students.withColumn("note", note)

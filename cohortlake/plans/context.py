@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlake.fixtures import students
 from cohortlake.operators import models, records
-from cohortlake.session import fresh_path
+from cohortlake.session import fresh_path, scan_partitions
 from cohortlake.sources import batches
 
 _contexts: dict[tuple[str, str], "StudyContext"] = {}
@@ -23,7 +23,7 @@ class StudyContext:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         path = fresh_path(spark, "training-records")
-        enriched = records.enrich(students(spark, sf_dir, spread_out=True))
+        enriched = records.enrich(students(spark, sf_dir, partitions=scan_partitions(spark)))
         batches.write_batches(records.project_record(enriched, ["event_seq"]), path)
         self.labelled = records.known_labels(batches.scan_parquet(spark, path))
         self._training: models.TrainingSet | None = None
@@ -32,11 +32,7 @@ class StudyContext:
     @property
     def training(self) -> models.TrainingSet:
         if self._training is None:
-            cores = self.spark.sparkContext.defaultParallelism
-            scarce = len(self.labelled.inputFiles()) < cores
-            self._training = models.prepare_training(
-                self.labelled, partitions=cores if scarce else None
-            )
+            self._training = models.prepare_training(self.labelled)
         return self._training
 
     def model(self, name: str) -> Model:
@@ -56,7 +52,11 @@ class StudyContext:
 
 
 def context(spark: SparkSession, sf_dir: str) -> StudyContext:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The one context of a session and data set; those of ended sessions are dropped."""
+    application = spark.sparkContext.applicationId
+    for ended in [key for key in _contexts if key[0] != application]:
+        del _contexts[ended]
+    key = (application, sf_dir)
     if key not in _contexts:
         _contexts[key] = StudyContext(spark, sf_dir)
     return _contexts[key]

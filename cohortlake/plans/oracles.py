@@ -222,10 +222,49 @@ _OUTLIERS = (
     "CASE WHEN event_seq % 23 = 0 THEN -1 ELSE curricular_units_1st_sem_grade END AS g1, "
     "CASE WHEN event_seq % 29 = 0 THEN NULL ELSE curricular_units_2nd_sem_grade END AS g2 FROM students)"
 )
+_ALL_MODELS = ("Random Forest", "Logistic Regression", "Decision Tree", "Naive Bayes")
+
+
+def _model_facts(*names: str) -> str:
+    """Facts that hold of any sound model; the rows counted are those of the key-hash split."""
+    models = ", ".join(f"('{name}')" for name in names)
+    return _with(STUDENTS, ENRICHED, LABELLED) + (
+        "SELECT model, count(*) AS test_rows, count(*) AS with_class, true AS recall_is_accuracy, "
+        f"true AS beats_majority, true AS in_range FROM labelled, (VALUES {models}) t(model) "
+        "WHERE NOT is_train GROUP BY model"
+    )
+
+
+# Keys by rule: every 7th row has none, every 11th an empty one; such rows go by their whole text.
+_ODD_KEY = (
+    "CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN o_orderkey || '|' "
+    "ELSE cast(o_orderkey AS varchar) END"
+)
 _ROUNDED_FEATURES = _list(_F, "round({0}, 4) AS {0}")
 
 ORACLES: dict[str, str] = {
-    "csv_roundtrip": _with(STUDENTS) + "SELECT * FROM students",
+    "csv_roundtrip": _with(STUDENTS)
+    + "SELECT *, CASE event_seq % 5 WHEN 0 THEN '  padded ' WHEN 1 THEN 'two' || chr(10) || 'lines' "
+    "WHEN 2 THEN 'p;q,r' WHEN 3 THEN 'say \"so\"' ELSE 'plain' END AS note FROM students",
+    "rf_metrics": _model_facts("Random Forest"),
+    "lr_metrics": _model_facts("Logistic Regression"),
+    "dt_metrics": _model_facts("Decision Tree"),
+    "model_comparison": _model_facts(*_ALL_MODELS),
+    "feature_importance": f"SELECT {len(_F)}::bigint AS features, {len(_F)}::bigint AS listed_features, "
+    "true AS sum_is_one, 0::bigint AS negative, 20::bigint AS top_rows",
+    "scored_all": _with(STUDENTS, ENRICHED)
+    + "SELECT label, count(*) AS rows, count(*) AS with_class FROM enriched WHERE label >= 0 GROUP BY label",
+    "training_document": f"SELECT 'spark' AS impl, 'orders' AS parquet_source, '{','.join(_ALL_MODELS)}' AS models, "
+    "20::bigint AS features, true AS falling",
+    "split_missing_keys": f"SELECT o_orderkey, CASE WHEN {_in_train(_ODD_KEY)} THEN 'train' ELSE 'test' END AS part "
+    "FROM orders",
+    "file_sequence": "SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderkey) - 1 AS seq FROM orders",
+    "latency_percentiles_wide": "SELECT user_id % 3 AS part, count(*) AS samples, "
+    "quantile_disc(1152921504606846976 + event_id * 7919, 0.5) AS p50, "
+    "quantile_disc(1152921504606846976 + event_id * 7919, 0.99) AS p99 FROM events GROUP BY 1",
+    "stream_rejects": _with(STUDENTS)
+    + f"SELECT cast(event_seq AS varchar) AS key, count(*) FILTER (NOT ({_BAD})) OVER () AS kept "
+    f"FROM students QUALIFY {_BAD}",
     "lenient_csv": _with(STUDENTS) + f"SELECT {_spoiled()} FROM students",
     "message_roundtrip": _with(STUDENTS)
     + f"SELECT cast(event_seq AS varchar) AS key, {_list(schema.REQUIRED)}, "

@@ -13,7 +13,7 @@ from cohortlake.functions import scalars
 from cohortlake.operators import gates, latency, metrics, models, records, replay, reports, sampling
 from cohortlake.plans import cases
 from cohortlake.plans.context import context
-from cohortlake.session import fresh_path
+from cohortlake.session import fresh_path, scan_partitions
 from cohortlake.sources import batches, delimited, messages, results
 from cohortlake.streaming import ingest as streaming
 
@@ -35,7 +35,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record view for queries that write, encode or return all of its columns."""
-    return students(spark, sf_dir, spread_out=True)
+    return students(spark, sf_dir, partitions=scan_partitions(spark))
 
 
 def _rounded(df: DataFrame, columns, digits: int = 4) -> DataFrame:
@@ -47,20 +47,18 @@ def _rounded(df: DataFrame, columns, digits: int = 4) -> DataFrame:
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _whole(spark, sf_dir)
+    rows = cases.with_note(_whole(spark, sf_dir))
     raw, normal = fresh_path(spark, "raw-csv"), fresh_path(spark, "csv")
     delimited.write_table_csv(rows, raw, sep=";")
-    delimited.normalize_delimited(spark, raw, normal, sep=";")
-    cells = delimited.read_cells(spark, normal)
+    delimited.normalize_delimited(spark, raw, normal, sep=";", multi_line=True)
+    cells = delimited.read_cells(spark, normal, multi_line=True)
     return cells.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in rows.schema.fields))
 
 
 @query
 def lenient_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "spoiled-csv")
-    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    spoiled = cases.spoiled_cells(_whole(spark, sf_dir))
-    spoiled.write.options(header=True, **keep_blanks).csv(path)
+    delimited.write_table_csv(cases.spoiled_cells(_whole(spark, sf_dir)), path)
     return delimited.read_lenient_csv(spark, path)
 
 
@@ -143,6 +141,7 @@ def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def training_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written document, read back: its models in order and what its features say."""
     study = context(spark, sf_dir)
     importances = models.feature_importance(
         spark, study.model("Random Forest"), study.training.columns
@@ -154,9 +153,10 @@ def training_document(spark: SparkSession, sf_dir: str) -> DataFrame:
         impl="spark",
         timestamp="2024-01-01T00:00:00+00:00",
         source="orders",
+        model_order=list(models.MODELS),
     )
     results.write_training_result(document, path)
-    return spark.read.text(path, wholetext=True)
+    return results.document_facts(spark.read.text(path, wholetext=True))
 
 
 @query
@@ -221,6 +221,16 @@ def sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.with_sequence(orders, ["o_orderstatus", "o_orderkey"])
 
 
+@query
+def file_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "lines")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    parts = orders.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey")
+    delimited.write_table_csv(parts, path)
+    cells = delimited.with_places(delimited.read_cells(spark, path))
+    return replay.with_file_sequence(cells.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint")))
+
+
 @query
 def scale_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     swept = replay.scale_sweep(_enriched(spark, sf_dir).select("label"))
@@ -289,6 +299,16 @@ def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.count_rows(sampling.with_split(students(spark, sf_dir)), [part])
 
 
+@query
+def split_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("o_orderkey")
+    key = F.when(number % 7 == 0, F.lit(None)).when(number % 11 == 0, "").otherwise(number.cast("string"))
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", key.alias("key"))
+    train, test = sampling.split(rows, "key")
+    parts = [part.select("o_orderkey", F.lit(name).alias("part")) for part, name in ((train, "train"), (test, "test"))]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.label_distribution(_enriched(spark, sf_dir))
@@ -323,7 +343,16 @@ def e2e_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = latency.latency_samples_by_mode(sends(spark, sf_dir))
-    return latency.latency_percentiles(samples, "latency_us", PERCENTILES, "mode", [0, 1])
+    return latency.latency_percentiles(samples, "latency_us", PERCENTILES, "mode")
+
+
+@query
+def latency_percentiles_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values near 2^60, whose histogram buckets hold 2^50 of them."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        (F.col("user_id") % 3).alias("part"), (F.lit(1 << 60) + F.col("event_id") * 7919).alias("v")
+    )
+    return latency.latency_percentiles(rows, "v", PERCENTILES, "part")
 
 
 @query
@@ -390,37 +419,55 @@ def nb_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _test_metrics(spark, sf_dir, "Naive Bayes")
 
 
+def _metric_facts(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """What must hold of the test metrics of models whose predictions SQL cannot repeat."""
+    study = context(spark, sf_dir)
+    fitted = {name: study.model(name) for name in names}
+    scored = models.score_all(fitted, study.training.features, study.training.test)
+    return metrics.metric_facts(scored, by=["model"])
+
+
 @query
 def rf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _test_metrics(spark, sf_dir, "Random Forest")
+    return _metric_facts(spark, sf_dir, "Random Forest")
 
 
 @query
 def lr_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _test_metrics(spark, sf_dir, "Logistic Regression")
+    return _metric_facts(spark, sf_dir, "Logistic Regression")
 
 
 @query
 def dt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _test_metrics(spark, sf_dir, "Decision Tree")
+    return _metric_facts(spark, sf_dir, "Decision Tree")
 
 
 @query
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context(spark, sf_dir).comparison(*models.MODELS)
+    return _metric_facts(spark, sf_dir, *models.MODELS)
 
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of the forest's importances: whose they are, their sum, and the cut."""
     study = context(spark, sf_dir)
     forest = study.model("Random Forest")
-    return models.top_features(models.feature_importance(spark, forest, study.training.columns))
+    table = models.feature_importance(spark, forest, study.training.columns)
+    top = models.top_features(table)
+    listed = F.col("feature").isin(list(schema.FEATURES))
+    return table.agg(
+        F.count("*").alias("features"),
+        F.count_if(listed).alias("listed_features"),
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("sum_is_one"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+    ).withColumn("top_rows", F.lit(top.count()).cast("bigint"))
 
 
 @query
 def scored_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = context(spark, sf_dir).scored("Random Forest")
-    return scored.select("event_seq", "label", "prediction")
+    known = F.col("prediction").isin([float(code) for code in schema.LABELS.values()])
+    return scored.groupBy("label").agg(F.count("*").alias("rows"), F.count_if(known).alias("with_class"))
 
 
 @query
@@ -477,3 +524,19 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = batches.scan_parquet(spark, out).count()
     totals = spark.createDataFrame(runs, "run int, received bigint, kept bigint")
     return totals.withColumn("stored", F.lit(stored).cast("bigint"))
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of rejected messages and the number of kept ones, from one decoding of each batch."""
+    names = ("inbox", "ingested", "rejected", "ingest-checkpoint")
+    inbox, out, rejected, mark = (fresh_path(spark, n) for n in names)
+    messages.write_messages(cases.spoiled_messages(_whole(spark, sf_dir)), "parquet", inbox)
+
+    def start():
+        stream = messages.read_messages(spark, "parquet", inbox)
+        return streaming.ingest_with_rejects(stream, out, rejected, mark)
+
+    streaming.run_until_drained(start)
+    kept = batches.scan_parquet(spark, out).count()
+    return spark.read.parquet(rejected).select("key", F.lit(kept).cast("bigint").alias("kept"))

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from cohortlake import schema
 from cohortlake.functions import scalars
 from cohortlake.operators import gates, latency, models, records, replay, reports
-from cohortlake.session import materialize
+from cohortlake.session import discard, fresh_path, materialize, path_exists, stored
 from cohortlake.sources import batches, delimited, messages, results
 from cohortlake.streaming import ingest
+from cohortlake.streaming.replay import paced_replay
 
 
 def replay_dataset(
@@ -31,22 +32,32 @@ def replay_dataset(
 ) -> int:
     """Send a delimited file's records ``iterations`` times; returns the number of messages.
 
-    With a rate, records are stamped with their planned send time after ``start_ms``. A report
+    With a rate, that many are sent a second; without one, all as fast as possible. Records carry the
+    time they were sent, or ``start_ms`` plus their planned offset where a start is given. A report
     folder receives the run's totals; latencies of single sends are not known here and stay NULL.
     """
     typed = delimited.read_lenient_csv(spark, csv_path, file_order=True)
-    numbered = replay.with_sequence(typed, delimited.FILE_ORDER).drop(*delimited.FILE_ORDER)
+    numbered, table = stored(replay.with_file_sequence(typed), "replay")
     rows = numbered.count()
-    fanned = replay.replicate(numbered, iterations)
     send = F.col("iteration") * F.lit(rows) + F.col("seq")
-    planned = scalars.pace_offset_us(send, rate)
-    offset = F.call_function("div", planned, F.lit(1000)) if rate > 0 else None
-    stamped = replay.stamp_event(fanned, start_ms=start_ms, offset_ms=offset)
+    encoded = [replay.message_key(send), sink, path]
+
+    def deliver(due: DataFrame, mode: str = "append") -> None:
+        if start_ms is not None:
+            planned = F.call_function("div", scalars.pace_offset_us(send, rate), F.lit(1000))
+            due = replay.stamp_event(due, start_ms=start_ms, offset_ms=planned)
+        key, *target = encoded
+        messages.write_messages(messages.encode_messages(due, key), *target, mode=mode, **options)
+
     started = time.time()
-    messages.write_messages(
-        messages.encode_messages(stamped, replay.message_key(send)), sink, path, **options
-    )
+    if rate > 0 and rows:
+        if path is not None and path_exists(spark, path):
+            raise FileExistsError(f"a paced replay appends to a new path: {path}")
+        paced_replay(numbered, rows, rate, iterations, deliver, fresh_path(spark, "replay-checkpoint"))
+    else:
+        deliver(replay.stamp_event(replay.replicate(numbered, iterations)), "overwrite")
     elapsed = time.time() - started
+    discard(spark, table)
     sent = rows * iterations
     if report_folder is not None:
         summary = spark.createDataFrame(
@@ -66,12 +77,19 @@ def ingest_messages(
     checkpoint: str,
     path: str | None = None,
     rows_per_file: int = schema.FILE_ROWS,
+    tries: int = 3,
     **options,
 ) -> ingest.IngestCounters:
-    """Take in what the topic or directory holds beyond the checkpoint; fail if nothing is stored."""
-    stream = messages.read_messages(spark, source, path, **options)
-    query = ingest.stream_ingest(stream, out, checkpoint, rows_per_file, extra=("event_id",))
-    counters = ingest.drain(query)
+    """Take in what the topic or directory holds beyond the checkpoint; fail if nothing is stored.
+
+    However long that takes; after an error of the source it goes on, ``tries`` times in all.
+    """
+
+    def start():
+        stream = messages.read_messages(spark, source, path, **options)
+        return ingest.stream_ingest(stream, out, checkpoint, rows_per_file, extra=("event_id",))
+
+    counters = ingest.run_until_drained(start, tries)
     batches.assert_nonempty(spark, out)
     return counters
 
@@ -99,7 +117,7 @@ def train_and_report(
     training = models.prepare_training(labelled, key=rows_key)
     fitted = models.fit_models(training)
     # A report of four rows: stored, so that gates and files do not score the test rows again.
-    comparison = materialize(models.compare_models(training, fitted, with_times=True), "comparison")
+    comparison, compared = stored(models.compare_models(training, fitted, with_times=True), "comparison")
     best = models.best_model(comparison)
     scored = models.score(fitted[best], training.features, labelled)
     importances = models.top_features(
@@ -115,7 +133,10 @@ def train_and_report(
     )
     if report_folder is not None:
         points = reports.valid_points(results.read_run_reports(spark, report_folder))
-        newest = reports.latest_row(points, "reported_at", "file_name").select(
+        newest = reports.latest_row(points, "reported_at", "file_name")
+        if newest.isEmpty():  # names without a time: the file written last
+            newest = results.read_report(spark, results.latest_file(spark, report_folder))
+        newest = newest.select(
             F.col("avg_rate").alias("throughput"),
             scalars.us_to_ms(F.col("latency_us.p50")).alias("p50_latency_ms"),
         )
@@ -127,23 +148,25 @@ def train_and_report(
             f"{out_dir}/throughput_report",
         )
     system = materialize(gates.system_gate(values), "system-gate")
+    quality = materialize(quality, "quality-gate")
 
-    finished = datetime.now(UTC).isoformat()
-    document = results.training_document(comparison, importances, "spark", finished, parquet_dir)
-    results.write_training_result(document, f"{out_dir}/training_results")
-    delimited.write_table_csv(
-        comparison,
-        f"{out_dir}/model_metrics",
-        ["model", "accuracy", "precision", "recall", "f1_score", "training_time_s"],
+    finished = datetime.now(UTC)
+    document = results.training_document(
+        comparison, importances, "spark", finished.isoformat(), parquet_dir, list(models.MODELS)
     )
-    delimited.write_table_csv(importances, f"{out_dir}/feature_importance")
-    summary = ["metric", "label", "value", "unit", "operator", "target", "passed"]
-    delimited.write_table_csv(quality, f"{out_dir}/quality_summary", summary)
-    delimited.write_table_csv(system, f"{out_dir}/system_summary", summary)
+    # The latest results, and those of every run below the time it finished.
+    for folder in (out_dir, f"{out_dir}/runs/{finished:%Y%m%d_%H%M%S_%f}"):
+        results.write_training_result(document, f"{folder}/training_results")
+        delimited.write_table_csv(comparison, f"{folder}/model_metrics", schema.MODEL_METRICS)
+        delimited.write_table_csv(importances, f"{folder}/feature_importance")
+        delimited.write_table_csv(quality, f"{folder}/quality_summary", schema.GATE_SUMMARY)
+        delimited.write_table_csv(system, f"{folder}/system_summary", schema.GATE_SUMMARY)
     delimited.export_dashboard(scored, f"{out_dir}/dashboard")
     meets_all = gates.verdict(quality).first()["meets_all"]
+    kept = spark.createDataFrame(comparison.collect(), comparison.schema)  # a row per model
     training.close()
-    return StudyResult(comparison, quality, system, meets_all)
+    discard(spark, compared)
+    return StudyResult(kept, quality, system, meets_all)
 
 
 def scale_study(

@@ -133,3 +133,7 @@ RUN_REPORT = T.StructType(
         ),
     ]
 )
+
+# Columns of the result files.
+MODEL_METRICS = ["model", "accuracy", "precision", "recall", "f1_score", "training_time_s"]
+GATE_SUMMARY = ["metric", "label", "value", "unit", "operator", "target", "passed"]

@@ -65,18 +65,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     The written table cuts the lineage: losing an executor afterwards costs a re-read, never a
     second evaluation that could order or number the rows differently.
     """
+    return stored(df, name)[0]
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like ``materialize``, with the path, for callers that ``discard`` the table in the end."""
     path = fresh_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+SCAN_PARTITIONS = "spark.cohortlake.scanPartitions"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that comes in fewer splits than there are cores.
+def scan_partitions(spark: SparkSession) -> int | None:
+    """Partitions that a scan before costly work per row is dealt into, if the session sets a number.
 
-    A large table already has more splits than cores and is left as it is, without a shuffle.
+    Left unset where tables come in enough splits: nothing is decided from a table's size.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    number = spark.conf.get(SCAN_PARTITIONS, None)
+    return int(number) if number else None
 
 
 def file_system(spark: SparkSession, path: str):

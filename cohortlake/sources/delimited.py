@@ -12,8 +12,13 @@ from cohortlake import schema
 from cohortlake.functions import scalars
 from cohortlake.operators import records
 
-# Quotes inside a cell are doubled, not escaped, as most tools write them.
-_QUOTING = {"quote": '"', "escape": '"'}
+# Quotes inside a cell are doubled, not escaped, as most tools write them, and blanks belong to it.
+_QUOTING = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 FILE_ORDER = ("_file", "_block", "_row")
 
@@ -28,10 +33,19 @@ def read_cells(spark: SparkSession, path: str, sep: str = ",", multi_line: bool
 
 
 def normalize_delimited(
-    spark: SparkSession, source: str, target: str, sep: str = ";", target_sep: str = ","
+    spark: SparkSession,
+    source: str,
+    target: str,
+    sep: str = ";",
+    target_sep: str = ",",
+    multi_line: bool = False,
 ) -> None:
-    """Rewrite delimited files with another separator; cells are passed through as text."""
-    write_table_csv(read_cells(spark, source, sep), target, sep=target_sep)
+    """Rewrite delimited files with another separator; cells are passed through as text.
+
+    Blanks around a cell, quotes and separators inside it stay. Set ``multi_line`` where quoted
+    cells hold line breaks; a file is then read by one task. An empty cell stays empty, quoted or not.
+    """
+    write_table_csv(read_cells(spark, source, sep, multi_line), target, sep=target_sep)
 
 
 _LENIENT = {
@@ -59,12 +73,7 @@ def read_lenient_csv(
     cells = read_cells(spark, path, sep, multi_line)
     places = []
     if file_order:
-        places = [
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-        ]
-        cells = cells.select("*", *places)
+        cells = with_places(cells)
         places = [F.col(name) for name in FILE_ORDER]
     named = records.rename_columns(records.trim_headers(cells), mapping)
     present = set(named.columns)
@@ -79,6 +88,16 @@ def read_lenient_csv(
     return named.select(*typed, *places)
 
 
+def with_places(cells: DataFrame) -> DataFrame:
+    """Add ``_file, _block, _row``: ordering by them gives the order of the files' lines."""
+    return cells.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+
+
 def write_table_csv(
     df: DataFrame, path: str, columns: Sequence[str] | None = None, sep: str = ","
 ) -> None:

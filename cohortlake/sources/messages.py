@@ -32,14 +32,16 @@ def encode_messages(df: DataFrame, key: Column, columns: Sequence[str] = schema.
     return df.select(key.cast("string").alias("key"), encode_json(columns).alias("value"))
 
 
-def write_messages(messages: DataFrame, sink: str = "kafka", path: str | None = None, **options) -> None:
+def write_messages(
+    messages: DataFrame, sink: str = "kafka", path: str | None = None, mode: str = "overwrite", **options
+) -> None:
     """Send ``key, value`` rows to a topic (``topic=``, ``**{"kafka.bootstrap.servers": …}``) or a path."""
     if sink == "kafka":
         messages.write.format("kafka").options(**(KAFKA_SINK | options)).save()
     elif sink == "text":
-        messages.select("value").write.mode("overwrite").options(**options).text(path)
+        messages.select("value").write.mode(mode).options(**options).text(path)
     else:
-        messages.select("key", "value").write.mode("overwrite").options(**options).format(sink).save(path)
+        messages.select("key", "value").write.mode(mode).options(**options).format(sink).save(path)
 
 
 def read_messages(
@@ -119,7 +121,7 @@ def _one_plain_object(text: Column, in_array: Column, record: T.StructType, pres
     no bracket occurs, there is room for none of these; only other texts are looked at closely.
     A text that ends the array itself has a bracket where a member of an object cannot have one.
     """
-    colons = F.size(F.split(text, ":")) - 1
+    colons = F.length(text) - F.length(F.translate(text, ":", ""))
     plain = (colons == present) & ~F.contains(text, F.lit("]"))
     known = F.filter(F.json_object_keys(text), lambda key: key.isin(record.names))
     as_member = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit("}")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -80,6 +81,16 @@ def latest_file(spark: SparkSession, folder: str, glob: str = REPORT_GLOB) -> st
     return files.agg(F.max_by("path", F.struct("modified", "path")).alias("path")).first()["path"]
 
 
+def read_report(spark: SparkSession, path: str | None) -> DataFrame:
+    """The one report document at a path, whatever its name; no row without a path or a valid document."""
+    if path is None:
+        return spark.createDataFrame([], schema.RUN_REPORT)
+    strict = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
+    parsed = F.from_json("value", schema.RUN_REPORT, strict)
+    found = spark.read.text(path, wholetext=True).select(F.explode(F.array(parsed)).alias("report"))
+    return found.where("report.avg_rate is not null").select("report.*")
+
+
 def read_run_reports(spark: SparkSession, folder: str, glob: str = REPORT_GLOB) -> DataFrame:
     """All report documents with their file name and the time in it.
 
@@ -103,7 +114,8 @@ def read_run_reports(spark: SparkSession, folder: str, glob: str = REPORT_GLOB)
         T.ArrayType(schema.RUN_REPORT),
         {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"},
     )
-    loaded = documents.select(F.col("_metadata.file_name").alias("file_name"), parsed.alias("all"))
+    # The parse sits in a generator, so that no filter repeats it.
+    loaded = documents.select(F.col("_metadata.file_name").alias("file_name"), F.explode(F.array(parsed)).alias("all"))
     loaded = loaded.filter(F.size("all") == 1).select("file_name", F.col("all")[0].alias("report"))
     named = loaded.select(
         "report.*",
@@ -114,15 +126,22 @@ def read_run_reports(spark: SparkSession, folder: str, glob: str = REPORT_GLOB)
 
 
 def training_document(
-    comparison: DataFrame, importances: DataFrame, impl: str, timestamp: str, source: str
+    comparison: DataFrame,
+    importances: DataFrame,
+    impl: str,
+    timestamp: str,
+    source: str,
+    model_order: Sequence[str] = (),
 ) -> DataFrame:
     """One row, one column ``value``: the training result as a JSON document.
 
-    Both arrays hold report rows: one per model and one per reported feature.
+    Both arrays hold report rows: one per model, in the order in which they were fitted
+    (``model_order``, others behind by name), and one per reported feature.
     """
-    models = comparison.agg(
-        F.sort_array(F.collect_list(F.struct(*comparison.columns))).alias("model_comparison")
-    )
+    known = F.array_position(F.array(*map(F.lit, model_order)).cast("array<string>"), F.col("model"))
+    place = F.when(known > 0, known).otherwise(len(model_order) + 1)
+    rows = F.sort_array(F.collect_list(F.struct(place.alias("place"), F.struct(*comparison.columns).alias("row"))))
+    models = comparison.agg(F.transform(rows, lambda item: item["row"]).alias("model_comparison"))
     # Most important first; equal importances in name order.
     ranked = importances.agg(
         F.sort_array(
@@ -142,5 +161,23 @@ def training_document(
     return both.select(F.to_json(document).alias("value"))
 
 
+def document_facts(documents: DataFrame) -> DataFrame:
+    """What a training document says, parsed back: its models in order, its features and their order."""
+    kind = (
+        "impl string, timestamp string, parquet_source string, "
+        "model_comparison array<struct<model: string, accuracy: double>>, "
+        "feature_importance array<struct<feature: string, importance: double>>"
+    )
+    parsed = documents.select(F.from_json("value", kind).alias("d")).select("d.*")
+    values = F.col("feature_importance.importance")
+    return parsed.select(
+        "impl",
+        "parquet_source",
+        F.array_join("model_comparison.model", ",").alias("models"),
+        F.size("feature_importance").cast("bigint").alias("features"),
+        (values == F.reverse(F.array_sort(values))).alias("falling"),
+    )
+
+
 def write_training_result(document: DataFrame, path: str) -> None:
     document.write.mode("overwrite").text(path)

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import time
+import warnings
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -66,6 +70,50 @@ def stream_rejects(stream: DataFrame, out: str, checkpoint: str) -> StreamingQue
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def ingest_with_rejects(
+    stream: DataFrame,
+    out: str,
+    rejects: str,
+    checkpoint: str,
+    rows_per_file: int = schema.FILE_ROWS,
+    extra: tuple[str, ...] = (),
+) -> StreamingQuery:
+    """Ingest good messages and keep the others, as key and value, from one decoding of each batch.
+
+    Every batch has a folder of its own in both tables (column ``batch``), which a repeated batch
+    overwrites, so a restart neither loses nor repeats rows.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        decoded = messages.decode_json(batch).persist(StorageLevel.DISK_ONLY)
+        try:
+            good = decoded.filter("valid").select("record.*")
+            kept = records.project_record(records.enrich(good), extra)
+            kept.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(f"{out}/batch={number}")
+            bad = decoded.filter("not valid").select(*batch.columns)
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        finally:
+            decoded.unpersist()
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def run_until_drained(start: Callable[[], StreamingQuery], tries: int = 3) -> IngestCounters:
+    """Drain the query that ``start`` starts; after an error of its source go on from the checkpoint.
+
+    The error of the last of ``tries`` is raised.
+    """
+    for left in reversed(range(tries)):
+        try:
+            return drain(start())
+        except StreamingQueryException as error:
+            if not left:
+                raise
+            warnings.warn(f"the ingest is started again: {error}", stacklevel=2)
+    raise ValueError("at least one try is needed")
+
+
 @dataclass
 class IngestCounters:
     batches: int = 0
@@ -106,22 +154,23 @@ class _Progress:
 def drain(
     query: StreamingQuery,
     idle_s: float | None = None,
-    timeout_s: float = 3600.0,
+    timeout_s: float | None = None,
     poll_s: float = 0.2,
 ) -> IngestCounters:
     """Wait until the query has stopped and return what it took in.
 
     A query that ran until drained ends by itself. For one that runs on, ``idle_s`` stops it after
-    that long without a message. An error of the query is raised here.
+    that long without a message. There is no time limit unless ``timeout_s`` sets one. An error of
+    the query is raised here.
     """
     seen = _Progress()
-    deadline = time.monotonic() + timeout_s
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
     last_news = time.monotonic()
     while not query.awaitTermination(poll_s):
         now = time.monotonic()
         if seen.poll(query):
             last_news = now
-        if now > deadline:
+        if deadline is not None and now > deadline:
             query.stop()
             raise TimeoutError(f"the ingest did not end within {timeout_s} s")
         if idle_s is not None and now - last_news > idle_s and not query.status["isTriggerActive"]:

@@ -74,3 +74,20 @@ def test_metrics_of_several_models(spark):
     frame = spark.createDataFrame([("a", 0, 0.0), ("b", 0, 1.0), ("b", 1, 1.0)], "model string, label int, prediction double")
     found = {r["model"]: r["accuracy"] for r in metrics.classification_metrics(frame, by=["model"]).collect()}
     assert found == {"a": 1.0, "b": 0.5}
+
+
+def test_percentiles_of_huge_and_negative_values(spark):
+    values = [(g, (1 << 60) + k * 1_000_003) for g in ("a", "b") for k in range(300)]
+    frame = spark.createDataFrame(values, "g string, v bigint")
+    for row in latency.latency_percentiles(frame, "v", {"p50": 500, "p99": 990}, "g").collect():
+        mine = sorted(v for g, v in values if g == row["g"])
+        assert (row["samples"], row["p50"], row["p99"]) == (300, mine[149], mine[296])
+    with pytest.raises(ValueError):
+        latency.latency_percentiles(spark.createDataFrame([("a", -1)], "g string, v bigint"), "v", {"p50": 500}, "g")
+    assert latency.latency_percentiles(frame.limit(0), "v", {"p50": 500}, "g").count() == 0
+
+
+def test_stamps_ahead_of_the_clock_measure_nothing(spark):
+    frame = spark.createDataFrame([(2_000,), (90_000,)], "event_ts_ms bigint")
+    assert latency.mean_latency_s(frame, 1_000).first()["e2e_latency_s"] is None
+    assert latency.mean_latency_s(frame, 100_000).first()["e2e_latency_s"] == 54.0

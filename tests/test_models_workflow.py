@@ -79,3 +79,33 @@ def test_scale_study_end_to_end(spark, sf_dir, tmp_path):
     assert exported.count() == stored.filter("label >= 0").count()
     report = spark.read.csv(f"{work}/scale2/results/throughput_report", header=True).first()
     assert (report["rate_label"], report["is_max"]) == ("500 rec/s", "true")
+
+
+def test_forest_does_not_depend_on_the_input_partitions(spark, sf_dir):
+    rows = records.known_labels(records.enrich(students(spark, sf_dir)))  # not written before
+    trees = []
+    for partitions in (4, 8):
+        training = models.prepare_training(rows.repartition(partitions))
+        forest = models.random_forest().setNumTrees(5).fit(training.train)
+        trees.append(forest.toDebugString.split("\n", 1)[1])
+        training.close()
+    assert trees[0] == trees[1]
+
+
+def test_paced_replay_holds_its_rate(spark, tmp_path):
+    import time
+
+    rows = [(f"{k}",) for k in range(30)]
+    spark.createDataFrame(rows, "Course string").coalesce(1).write.csv(str(tmp_path / "in"), header=True)
+    started = time.time()
+    sent = workflow.replay_dataset(
+        spark, str(tmp_path / "in"), "parquet", str(tmp_path / "out"), iterations=2, rate=20,
+        report_folder=str(tmp_path / "reports"),
+    )
+    elapsed = time.time() - started
+    assert sent == 60 and elapsed >= 2.5
+    found = [json.loads(r["value"]) for r in spark.read.parquet(str(tmp_path / "out")).orderBy(F.col("key").cast("int")).collect()]
+    assert [r["event_id"] for r in found] == [f"{i}_{k}" for i in (0, 1) for k in range(30)]
+    stamps = [r["event_ts_ms"] for r in found]
+    assert stamps == sorted(stamps) and stamps[-1] <= time.time() * 1000
+    assert 2_500 <= stamps[-1] - stamps[0] <= 1000 * elapsed

@@ -88,3 +88,38 @@ def test_scale_sweep_equals_separate_replays(spark):
         assert sorted(map(tuple, one.collect())) == sorted(
             map(tuple, replay.replicate(frame, scale).collect())
         )
+
+
+def test_split_of_rows_without_a_key_loses_none(spark):
+    rows = [(None, k) for k in range(200)] + [("", k) for k in range(200)] + [(str(k), k) for k in range(200)]
+    frame = spark.createDataFrame(rows, "key string, v int")
+    train, test = sampling.split(frame, "key")
+    assert train.unionByName(test).exceptAll(frame).isEmpty() and train.count() + test.count() == 600
+    for part in (train, test):
+        kinds = {r["key"] if not r["key"] else "k" for r in part.select("key").distinct().collect()}
+        assert kinds == {None, "", "k"}  # rows without a key are not all on one side
+
+
+def test_file_sequence_needs_no_shuffle_of_rows(spark, tmp_path):
+    from cohortlake.sources import delimited
+
+    lines = spark.range(1000).selectExpr("id", "concat('v', id) as v").repartitionByRange(4, "id").sortWithinPartitions("id")
+    delimited.write_table_csv(lines, str(tmp_path / "lines"))
+    read = delimited.with_places(delimited.read_cells(spark, str(tmp_path / "lines")))
+    numbered = replay.with_file_sequence(read)
+    assert all(int(r["id"]) == r["seq"] for r in numbered.collect()) and numbered.columns == ["id", "v", "seq"]
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+    assert replay.with_file_sequence(read.limit(0)).count() == 0
+
+
+def test_sent_rows_carry_no_future_stamp(spark):
+    import time
+
+    import pytest
+
+    frame = spark.range(5).selectExpr("id as seq", "0 as iteration")
+    stamped = replay.stamp_event(frame).collect()
+    assert all(0 <= int(time.time() * 1000) - r["event_ts_ms"] < 60_000 for r in stamped)
+    with pytest.raises(ValueError):
+        replay.stamp_event(frame, offset_ms=F.col("seq") * 1000)
