@@ -1,0 +1,212 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cohortlake.llm import langid, quality
+
+WORDS = {
+    "aa": "the quick brown fox runs over lazy dogs with great speed and joy".split(),
+    "bb": "der schnelle braune fuchs springt über den faulen hund während es regnet".split(),
+}
+
+
+def corpus(n=400, seed=5):
+    draw = random.Random(seed)
+    rows = []
+    for k in range(n):
+        language = "aa" if k % 2 else "bb"
+        rows.append((k, " ".join(draw.choices(WORDS[language], k=draw.randint(3, 60))), language))
+    return rows
+
+
+def brute_model(grams, order):
+    """Interpolated Kneser-Ney probabilities by the definition, from counts of the highest order."""
+    levels = {order: dict(grams)}
+    for k in range(order - 1, 0, -1):
+        level = {}
+        for gram in levels[k + 1]:
+            level[gram[1:]] = level.get(gram[1:], 0) + 1
+        levels[k] = level
+    alphabet = {g[-1] for g in grams}
+
+    def probability(context, letter, k=order):
+        if k == 0:
+            return 1 / (len(alphabet) + 1)
+        context = context[len(context) - (k - 1) :] if k > 1 else ""
+        level = levels[k]
+        counts = list(level.values())
+        once, twice = counts.count(1), counts.count(2)
+        discount = once / (once + 2 * twice) if once and twice else 0.5
+        followers = {g[-1]: c for g, c in level.items() if g[:-1] == context}
+        lower = probability(context[1:], letter, k - 1) if k > 1 else probability("", letter, 0)
+        if not followers:
+            return lower
+        total = sum(followers.values())
+        own = max(followers.get(letter, 0) - discount, 0) / total
+        return own + discount * len(followers) / total * lower
+
+    return probability
+
+
+def test_hash_arrays_hold_the_kneser_ney_probabilities():
+    pad = chr(1)
+    counts = {}
+    for language, words in WORDS.items():
+        grams = {}
+        for word in [*words, *words[:4], "the", "den"]:
+            whole = pad * (langid.ORDER - 1) + word + pad
+            for i in range(len(word) + 1):
+                gram = whole[i : i + langid.ORDER]
+                grams[gram] = grams.get(gram, 0) + 1
+        counts[language] = grams
+    model = langid.estimate(counts)
+    # The alphabet is that of all languages together.
+    everything = {**counts["aa"], **counts["bb"]}
+    size = len({g[-1] for g in everything}) + 1
+    assert np.allclose(model.floor, 1 / size)
+    for word in ("the", "quick", "xyz", "über", "f"):
+        bits = model.bits([word], np.array([0]), 1)[0]
+        for j, language in enumerate(model.languages):
+            probability = brute_model(counts[language], langid.ORDER)
+            whole = pad * (langid.ORDER - 1) + word + pad
+            own = len({g[-1] for g in counts[language]}) + 1
+            expected = 0.0
+            for i in range(len(word) + 1):
+                p = probability(whole[i : i + langid.ORDER - 1], whole[i + langid.ORDER - 1])
+                expected -= math.log2(p) if own == size else 0.0
+            if own == size:
+                assert bits[j] == pytest.approx(expected, rel=1e-9)
+            total = 0.0  # what follows a context sums up to one over the alphabet and the unknown letter
+            letters = sorted({g[-1] for g in everything})
+            context = whole[: langid.ORDER - 1]
+            for letter in [*letters, "一"]:
+                codes = np.frombuffer((context + letter).encode("utf-32-le"), "<u4").astype(np.uint64)
+                hashes = langid._hashes(codes)
+                p = model.floor * model.weight[langid.ORDER][0]
+                p = p + model._find(0, hashes[0][-1:], model.share, 0.0)[0]
+                for k in range(1, langid.ORDER):
+                    p = p * model._find(k - 1, hashes[k - 1][-2:-1], model.weight, 1.0)[0]
+                    p = p + model._find(k, hashes[k][-1:], model.share, 0.0)[0]
+                total += p[j]
+            assert total == pytest.approx(1.0, abs=1e-9)
+
+
+def predictions(docs_of, rows):
+    learnable = langid.learnable(F.col("doc_id"))
+    return langid.identify(docs_of(rows), ["doc_id", "lang"], learnable).select("doc_id", "lang", "language.*").collect()
+
+
+def test_held_out_accuracy_and_rejection(docs_of):
+    strange = [(9001, "zxqj wvkp qqzx jjvw " * 20, None), (9002, "Привет мир это другой язык " * 9, None)]
+    rows = predictions(docs_of, corpus() + strange)
+    held = [r for r in rows if r.lang and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert len(held) > 50 and all(r.lang_pred == r.lang for r in held)
+    assert all(not r.rejected for r in rows if r.lang)
+    assert all(r.rejected and r.lang_pred in WORDS for r in rows if r.doc_id > 9000)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_odd_rows_get_a_defined_answer(docs_of, odd_rows):
+    rows = predictions(docs_of, corpus() + [(i if i is None else 10_000 + i, t, None) for i, t in odd_rows])
+    odd = {r.doc_id: r for r in rows if r.doc_id is None or r.doc_id >= 10_000}
+    for doc_id in (10_002, 10_003, 10_004):
+        r = odd[doc_id]
+        assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+    assert odd[10_007].lang_pred in WORDS
+    assert len(rows) == 400 + len(odd_rows)
+
+
+def test_nothing_to_learn_and_empty_tables(docs_of):
+    docs = docs_of([(1, "some text", None), (None, "x", "aa")]).withColumn("language", F.lit("clash"))
+    rows = langid.identify(docs, ["doc_id"], langid.learnable(F.col("doc_id"))).collect()
+    assert {r.language.lang_pred for r in rows} == {"und"}
+    assert langid.identify(docs.limit(0), ["doc_id"], langid.learnable(F.col("doc_id"))).count() == 0
+
+
+def test_words_are_forgotten_without_harm(monkeypatch):
+    counts = {"aa": {"\1\1\1a": 2, "\1\1a\1": 1, "\1\1ab": 1, "\1ab\1": 1}}
+    model = langid.estimate(counts)
+    texts = [["a ab", "ab ab a"], ["b a", None], ["a ab", "ab ab a"]]
+    plain = [langid._scorer(model, langid._verdict)(t) for t in texts]
+    monkeypatch.setattr(langid, "REMEMBERED", 1)
+    score = langid._scorer(model, langid._verdict)
+    assert [score(t) for t in texts] == plain
+
+
+def test_language_query_on_the_whole_table(spark, sf_dir):
+    import __spark_entry__
+
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = __spark_entry__.queries()["op3_language"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in docs if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.98 * len(held)
+
+
+# --- quality -------------------------------------------------------------------------------------
+
+
+def scribbles(n=300):
+    draw = random.Random(9)
+    words = WORDS["aa"]
+    rows, labels = [], []
+    for k in range(n):
+        good = k % 4 != 0
+        said = draw.choices(words, k=draw.randint(20, 80))
+        text = " ".join(said).capitalize() + "." if good else " ".join(w.upper() + "!!" for w in said)
+        rows.append((k, text))
+        labels.append((k, int(good), 0))
+    return rows, labels
+
+
+def test_pairs_rank_better_documents_higher():
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(400, len(quality.FEATURES)))
+    good = x @ np.linspace(1, 2, x.shape[1]) + draw.normal(size=400) > -2
+    ranking = quality.fit(x, good)
+    scores = ranking.score(x)
+    better = (scores[good][:, None] > scores[~good][None, :]).mean()
+    assert better > 0.97
+    assert abs((scores < 0.5).mean() - (~good).mean()) < 0.02  # the quantile of the worse share
+    assert quality.fit(x, np.ones(400, bool)) is None
+
+
+def test_held_out_quality(spark, docs_of, odd_rows):
+    rows, labels = scribbles()
+    frame = spark.createDataFrame(labels + [(1, None, 0), (None, 1, 0), (3, 7, 0)], "doc_id long, quality int, toxic int")
+    docs = docs_of(rows + [(i if i is None else 5000 + i, t) for i, t in odd_rows])
+    ranked = quality.rank(docs, frame, ["doc_id"], quality.learnable(F.col("doc_id"))).select("doc_id", "quality.*")
+    found = ranked.collect()
+    assert len(found) == len(rows) + len(odd_rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in found)
+    held = [(r, r.doc_id % 4 != 0) for r in found if r.doc_id is not None and r.doc_id < 5000 and zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert sum(bool(r.predicted) == good for r, good in held) > 0.95 * len(held)
+
+
+def test_no_labels_and_empty_tables(spark, docs_of):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    docs = docs_of([(1, "a"), (2, None)]).withColumn("quality", F.lit("clash"))
+    rows = quality.rank(docs, none, ["doc_id"], quality.learnable(F.col("doc_id"))).collect()
+    assert {(r.quality.score, r.quality.predicted) for r in rows} == {(0.5, 1)}
+    assert quality.rank(docs.limit(0), none, ["doc_id"], quality.learnable(F.col("doc_id"))).count() == 0
+
+
+def test_features_take_the_whole_text():
+    text = "plain words here. " * 5000
+    assert quality.features(text + "!!!!")[quality.FEATURES.index("shout")] > 0
+    assert not quality.features(None).any() and not quality.features(" \n").any()
+
+
+def test_quality_query_on_the_whole_table(spark, sf_dir):
+    import __spark_entry__
+
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = __spark_entry__.queries()["op2_quality"](spark, sf_dir).collect()
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.95 * len(held)
