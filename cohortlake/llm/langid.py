@@ -25,10 +25,12 @@ CALIBRATION = 5
 #: N-grams of the highest order that the models keep; rarer ones go first.
 MAX_NGRAMS = 1_500_000
 #: Words whose scores a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Calibration rows beyond a bound. A language's bound is at least as far off as its own texts reach
-#: and as half the way to texts of the other languages.
-TAIL, HALF_WAY = 0.002, 0.5
+#: and as most of the way to texts of the other languages, so that mixed texts stay.
+TAIL, WAY = 0.002, 0.75
+#: What the bound of a text of one letter is higher, in centres; it falls with the root of the letters.
+SHORT = 4
 #: Letters from which on a longer text does not make the score surer.
 SURE_LETTERS = 60
 
@@ -289,9 +291,9 @@ def _calibrated(model: KneserNey, rows: list) -> KneserNey:
         centre = np.median(own[:, 0])
         reach = np.quantile(own[:, 0], 1 - TAIL)
         foreign = np.median(other) if len(other) else np.log2(1 / model.floor[j])
-        bound = max(reach, centre + HALF_WAY * (foreign - centre))
+        bound = max(reach, centre + WAY * (foreign - centre))
         short = np.quantile(np.maximum(own[:, 0] - bound, 0) * np.sqrt(own[:, 1]), 1 - TAIL)
-        bounds[j] = bound, max(short, centre)
+        bounds[j] = bound, max(short, SHORT * centre)
     return replace(model, bounds=bounds, name=uuid.uuid4().hex)
 
 
