@@ -186,10 +186,36 @@ def build_index(docs: DataFrame, items: DataFrame) -> Index | None:
     weight = np.log((1 + total) / (1 + frequency)) + 0.1
     numbered = [Item(i, *(np.array([terms[w] for w in part], np.int64) for part in (said, answer))) for i, said, answer in usable]
     cuts = [(k, a, b) for k, item in enumerate(numbered) for a, b in _parts(len(item.words))]
-    spaces = [_space(docs.sparkSession, numbered, cuts[at : at + RANK], weight) for at in range(0, len(cuts), RANK)]
+    spaces = [_space(docs.sparkSession, numbered, group, weight) for group in _alike(numbered, cuts, weight)]
     return Index(terms, np.append(weight, np.log(1 + total) + 0.1), numbered, spaces)
 
 
+def _needed(item: Item, start: int, stop: int, weight: np.ndarray) -> float:
+    """Weight of a document's passage below which it cannot hold ``CANDIDATE`` of this benchmark passage.
+
+    A term counts in a share once for each time that the benchmark's passage has it.
+    """
+    terms, n = np.unique(item.words[start:stop], return_counts=True)
+    return CANDIDATE * float(((n * weight[terms]) ** 2).sum() / n.max())
+
+
+def _alike(items: list[Item], cuts: list[tuple[int, int, int]], weight: np.ndarray) -> list[list[tuple[int, int, int]]]:
+    """The passages in groups of at most ``RANK`` whose needed weights are within a factor of two.
+
+    A space skips documents' passages that are too light for all of its own, so it should hold none
+    that is much lighter than the others.
+    """
+    needed = [_needed(items[k], a, b, weight) for k, a, b in cuts]
+    groups: list[list[tuple[int, int, int]]] = []
+    top = 0.0
+    for at in sorted(range(len(cuts)), key=lambda at: (-needed[at], cuts[at])):
+        if not groups or len(groups[-1]) == RANK or needed[at] < top / 2:
+            groups.append([])
+            top = needed[at]
+        groups[-1].append(cuts[at])
+    return groups
+
+
 def _space(spark, items: list[Item], cuts: list[tuple[int, int, int]], weight: np.ndarray) -> Space:
     own = np.unique(np.concatenate([items[k].words[a:b] for k, a, b in cuts]))
     local = np.full(len(weight) + 1, len(own), np.int64)
@@ -199,11 +225,10 @@ def _space(spark, items: list[Item], cuts: list[tuple[int, int, int]], weight: n
     passages = _times(rows, basis)
     square = (passages**2).sum(axis=1)
     latent = np.vstack([basis * weight[own][:, None], np.zeros((1, basis.shape[1]))])
-    # A term counts in a share once for each time that the benchmark's passage has it.
-    repeats = np.array([(w / weight[own][t]).max() for t, w in rows])
+    least = min(_needed(items[k], a, b, weight) for k, a, b in cuts)
     return Space(
         local, latent.astype(np.float32), np.array([k for k, _, _ in cuts]), np.array([a for _, a, _ in cuts]),
-        (passages / square[:, None]).T.astype(np.float32), np.sqrt(square), CANDIDATE * float((square / repeats).min()) * 0.999,
+        (passages / square[:, None]).T.astype(np.float32), np.sqrt(square), 0.999 * least,
     )
 
 
@@ -271,6 +296,9 @@ def _verify(index: Index, item: Item, ids: np.ndarray, near: list[tuple]) -> dic
         start = block * BLOCK - offset
         low, high = max(0, start - slack), start + 2 * BLOCK + n + slack
         region = ids[low:high]
+        held = index.weight[item.words[np.isin(item.words, region)]].sum()
+        if held < PARAPHRASE * index.weight[item.words].sum():
+            continue  # not even in any order
         common = common_share(item.words, region, index.weight)
         if common < PARAPHRASE or best and common <= best["lcs"]:
             continue
