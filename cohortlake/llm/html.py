@@ -44,13 +44,16 @@ NOISE = frozenset(
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 NOISE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
-    "breadcrumb breadcrumbs masthead footer sidebar aside widget cookie cookies consent gdpr notice notices alert popup modal "
+    "breadcrumb breadcrumbs masthead footer sidebar aside widget cookie cookies consent gdpr notice notices notification alert popup modal "
     "overlay newsletter subscribe subscription signup login search share sharing social comment comments commentlist reply "
     "replies respond discussion disqus related recommended recommendations teaser toolbar pagination pager skip disclaimer "
     "copyright form".split()
 )
-#: Names that only mean noise outside the article.
+#: Beginnings of names that mean noise.
+NOISE_STARTS = ("advert", "breadcrumb", "cookie", "navbar", "newsletter", "sidebar")
+#: Names that only mean noise outside the article, and words before them that make them the article's own.
 OUTER_NAMES = frozenset(("header", "topbar", "top"))
+OWN = frozenset(("article", "content", "entry", "post", "story"))
 ARTICLE = frozenset(("article", "main"))
 #: Words before a name that make it a remark about the page's layout.
 REMARKS = frozenset(("has", "with", "no", "without"))
@@ -99,9 +102,12 @@ def _is_noise(tag: str, rest: str, inside: bool) -> bool:
     for name in f"{values.get('class', '')} {values.get('id', '')}".split():
         words = [w.lower() for w in _NAME_PARTS.findall(name)]
         for k, word in enumerate(words):
-            if k and words[k - 1] in REMARKS:
+            before = words[k - 1] if k else ""
+            if before in REMARKS:
                 continue
-            if word in NOISE_NAMES or word in OUTER_NAMES and not inside:
+            if word in NOISE_NAMES or before + word in NOISE_NAMES or word.startswith(NOISE_STARTS):
+                return True
+            if word in OUTER_NAMES and not inside and before not in OWN:
                 return True
     return False
 

@@ -30,6 +30,9 @@ def page(before="", after="", article=f"<h1>Head</h1>{ARTICLE}"):
         "<section class='comments'><p>I liked it, a lot. Thank you.</p><p>Me too, friend.</p></section>",
         "<div style='display: none'><p>Hidden words, not shown.</p></div>",
         "<div><a href='/x'>One more link, here</a> <a href='/y'>and one there, too</a></div>",
+        "<div class='sideBar'><p>Other things, elsewhere. Indeed.</p></div>",
+        "<div id='cookiebar'><p>We use cookies, sorry. Accept them.</p></div>",
+        "<ol class='comment-list'><li>First, says a reader. Really.</li><li>Second, says another one.</li></ol>",
         "<noscript><p>Enable scripts, please.</p></noscript>",
     ],
 )
@@ -58,6 +61,12 @@ def test_plain_text_long_pages_and_wrapping_forms():
     assert html.main_text(deep) == "Deep text, in there."
 
 
+def test_headers_of_the_article_belong_to_it():
+    assert html.main_text(page(article=f"<header><h1>Head</h1></header>{ARTICLE}")) == f"Head {TEXT}"
+    post = f"<div class='post'><div class='post-header'><h1>Head</h1></div>{ARTICLE}</div>"
+    assert html.main_text(f"<body><div class='header'>Site, a fine one.</div>{post}</body>") == f"Head {TEXT}"
+
+
 def test_layout_remarks_in_names_are_no_noise():
     assert html.main_text(f"<body><div class='page with-sidebar no-comments'>{ARTICLE}</div></body>") == TEXT
 
