@@ -8,7 +8,6 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-TABLES = ["orders", "events"]
 QUERIES = entry_points.queries()
 ORACLES = entry_points.oracle_sql()
 
@@ -18,8 +17,9 @@ def duck(sf_dir):
     if not os.path.isdir(sf_dir):
         pytest.skip("driver tables not present")
     connection = duckdb.connect()
-    for table in TABLES:
-        connection.sql(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
+    for file in sorted(os.listdir(sf_dir)):
+        table = file.removesuffix(".parquet")
+        connection.sql(f"create view {table} as select * from '{sf_dir}/{file}'")
     return connection
 
 
