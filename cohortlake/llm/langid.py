@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.texts import Scorer, annotate, fold
+from cohortlake.llm.texts import Scorer, annotate, fold, per_worker
 
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
@@ -25,7 +25,7 @@ CALIBRATION = 5
 #: N-grams of the highest order that the models keep; rarer ones go first.
 MAX_NGRAMS = 1_500_000
 #: Words whose scores a Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Calibration rows beyond a bound. A language's bound is at least as far off as its own texts reach
 #: and as most of the way to texts of the other languages, so that mixed texts stay.
 TAIL, WAY = 0.002, 0.75
@@ -154,15 +154,9 @@ def estimate(counts: dict[str, dict[str, int]]) -> KneserNey:
     return KneserNey(languages, keys, share, [*weight, root], floor, np.full((len(languages), 2), np.inf))
 
 
-_latest: dict[str, Scorer] = {}
-
-
 def scorer(model: KneserNey) -> Scorer:
     """The scorer of ``model``, which a Python worker keeps from task to task."""
-    if model.name not in _latest:
-        _latest.clear()
-        _latest[model.name] = _scorer(model, _verdict)
-    return _latest[model.name]
+    return per_worker(("language", model.name), lambda: _scorer(model, _verdict))
 
 
 def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict]) -> Scorer:

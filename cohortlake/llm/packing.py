@@ -6,7 +6,7 @@ import bisect
 import os
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from cohortlake.llm.texts import per_worker
 from cohortlake.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,8 +27,8 @@ OPEN_WINDOWS = 64
 LEAST_PIECE = 32
 #: Tasks whose leftovers one group merges.
 FAN_IN = 32
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 300_000
+#: Words whose ids a Python worker remembers, about 30 MB.
+REMEMBERED = 1_000_000
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _SCHEMA = f"{PIECE}, ids binary, part long"
@@ -37,35 +38,124 @@ _ARROW = pa.schema(
 )
 
 
-@lru_cache(maxsize=2)
+class _WordTable:
+    """Ids of words by a 64-bit hash of their bytes: open addressing in arrays, about 30 bytes a word."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.clear()
+
+    def clear(self) -> None:
+        self.bits = max(8, (2 * self.size).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)  # 0: empty
+        self.start = np.zeros(1 << self.bits, np.int64)
+        self.count = np.zeros(1 << self.bits, np.int64)
+        self.ids = np.empty(1 << 16, "<u4")
+        self.held = self.used = 0
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash is, or the empty place where its search ended."""
+        place = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        left = np.flatnonzero((self.keys[place] != hashes) & (self.keys[place] != 0))
+        while len(left):
+            place[left] = (place[left] + 1) & (len(self.keys) - 1)
+            found = self.keys[place[left]]
+            left = left[(found != hashes[left]) & (found != 0)]
+        return place
+
+    def add(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
+        """Take in words that are not there."""
+        counts = np.array([len(i) for i in ids], np.int64)
+        flat = np.fromiter(chain.from_iterable(ids), "<u4", counts.sum())
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        starts = self.used + np.cumsum(counts) - counts
+        left = np.arange(len(hashes))
+        while len(left):  # of hashes that meet at an empty place one stays, the others go on
+            place = self.places(hashes[left])
+            self.keys[place] = hashes[left]
+            mine = self.keys[place] == hashes[left]
+            self.start[place[mine]] = starts[left[mine]]
+            self.count[place[mine]] = counts[left[mine]]
+            left = left[~mine]
+        self.held += len(hashes)
+        self.used += len(flat)
+
+
+#: Bytes of text whose words are looked up together.
+_TEXT_AT_ONCE = 1 << 20
+_random = np.random.default_rng(97)
+_LETTER = _random.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
+_LETTER[[9, 10, 11, 12, 13, 32]] = 0
+_POWER = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15 | 5, np.uint64))
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, stops and hashes of the words between ASCII white space."""
+    letters = _LETTER[np.frombuffer(data, np.uint8)]
+    inside = np.concatenate([[False], letters != 0, [False]])
+    starts, stops = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    if not len(starts):
+        return starts, stops, np.empty(0, np.uint64)
+    first = starts[0]
+    place = np.arange(first, len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
+    hashes = np.add.reduceat(letters[first:] * _POWER[place & (len(_POWER) - 1)], starts - first)
+    hashes ^= (stops - starts).astype(np.uint64) * _MIX
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * _MIX
+    hashes ^= hashes >> np.uint64(29)
+    hashes *= _MIX
+    return starts, stops, np.maximum(hashes, np.uint64(1))
+
+
 def word_encoder(path: str, end_id: int = END_ID) -> Callable[[list[str | None]], list[np.ndarray]]:
+    """The encoder of whole texts, which a Python worker keeps from task to task."""
+    return per_worker(("words", path, end_id), lambda: _word_encoder(path, end_id))
+
+
+def _word_encoder(path: str, end_id: int) -> Callable[[list[str | None]], list[np.ndarray]]:
     """Encode whole texts. White space only separates and case is dropped, so words are tokenised alone.
 
-    Words are cut at ASCII white space and only A-Z are lowered here; the tokenizer does the rest. A
-    worker remembers the ids of the first ``REMEMBERED`` words it meets, as bytes.
+    Words are cut at ASCII white space and only A-Z are lowered here; the tokenizer does the rest, once
+    for each distinct word as long as it is remembered. Words are told apart by a 64-bit hash.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
-    end = np.array([end_id], "<u4").tobytes()
-
-    def learn(words: list[bytes], into: dict[bytes, bytes]) -> None:
-        found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        into.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, found))
-
-    def stem(word: bytes) -> bytes:
-        """Letters before one comma or full stop, which the tokenizer takes apart anyway."""
-        return word[:-1] if word[-1:] in (b",", b".") and word[:-1].isalpha() else word
+    table = _WordTable(REMEMBERED)
+    end = np.array([end_id], "<u4")
+
+    def together(texts: list[bytes]) -> list[np.ndarray]:
+        data = b"\n".join(texts).lower()
+        starts, stops, hashes = _hashed_words(data)
+        place = table.places(hashes)
+        absent = np.flatnonzero(table.keys[place] != hashes)
+        new, at = np.unique(hashes[absent], return_index=True)
+        if table.held + len(new) > table.size:  # too many: forget all but the words of these texts
+            new, at = np.unique(hashes, return_index=True)
+            table.size = max(table.size, len(new))
+            table.clear()
+            absent = np.arange(len(hashes))
+        if len(new):
+            at = absent[at]
+            words = [data[a:b].decode() for a, b in zip(starts[at], stops[at])]
+            table.add(new, [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+            place = table.places(hashes)
+        counts = table.count[place]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        ids = table.ids[np.repeat(table.start[place] - upto[:-1], counts) + np.arange(upto[-1])]
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = upto[np.searchsorted(starts, ends)]
+        return [np.append(ids[a:b], end) for a, b in zip([0, *cuts], cuts)]
 
     def encode(texts: list[str | None]) -> list[np.ndarray]:
-        split = [(text or "").encode().lower().split() for text in texts]
-        new = set().union(*split) - known.keys()
-        stems = {stem(w): None for w in new}
-        learn([w for w in [*stems, b",", b"."] if w not in known], known)
-        known.update((w, known[stem(w)] + known[w[-1:]]) for w in new if w not in known)
-        found = [np.frombuffer(b"".join([*map(known.__getitem__, words), end]), "<u4") for words in split]
-        while len(known) > REMEMBERED:
-            known.popitem()  # the latest; words met early are the common ones
+        plain = [(text or "").encode() for text in texts]
+        found, first, size = [], 0, 0
+        for k, text in enumerate(plain):
+            size += len(text)
+            if size >= _TEXT_AT_ONCE or k + 1 == len(plain):
+                found += together(plain[first : k + 1])
+                first, size = k + 1, 0
         return found
 
     return encode

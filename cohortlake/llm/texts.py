@@ -16,6 +16,20 @@ ROWS_AT_ONCE = 256
 Scorer = Callable[[list[str | None]], list[dict]]
 
 
+_held: dict = {}
+
+
+def per_worker(key: tuple, make: Callable):
+    """What ``make`` returns, kept in a Python worker from task to task until another key is asked for.
+
+    One at a time, so that the memories of one operator do not stay beside those of the next.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def annotate(
     docs: DataFrame, columns: list[str], name: str, fields: str, make: Callable[[], Scorer]
 ) -> DataFrame:

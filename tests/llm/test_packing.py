@@ -52,11 +52,16 @@ def test_words_are_encoded_as_the_tokenizer_does(text, plain):
 
 def test_remembered_words_stay_bounded(monkeypatch, plain):
     monkeypatch.setattr(packing, "REMEMBERED", 5)
-    packing.word_encoder.cache_clear()
-    encode = packing.word_encoder(PATH)
-    for text in ("one two three four five six seven", "seven six, one. two"):
+    encode = packing._word_encoder(PATH, packing.END_ID)
+    for text in ("one two three four five six seven", "seven six, one. two", "naïve!! één&& e\u0301!! x'!! 12,", "one two!!"):
         assert encode([text])[0].tolist() == plain(text).tolist()
-    packing.word_encoder.cache_clear()
+
+
+def test_a_worker_keeps_one_memory():
+    first = packing.word_encoder(PATH)
+    assert packing.word_encoder(PATH) is first
+    assert packing.word_encoder(PATH, 3) is not first
+    assert packing.word_encoder(PATH) is not first
 
 
 def test_packer_fills_the_fullest_when_none_fits():
