@@ -27,7 +27,7 @@ OPEN_WINDOWS = 64
 LEAST_PIECE = 32
 #: Tasks whose leftovers one group merges.
 FAN_IN = 32
-#: Words whose ids a Python worker remembers, about 30 MB.
+#: Words whose ids a Python worker remembers, in about 60 MB.
 REMEMBERED = 1_000_000
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -39,7 +39,7 @@ _ARROW = pa.schema(
 
 
 class _WordTable:
-    """Ids of words by a 64-bit hash of their bytes: open addressing in arrays, about 30 bytes a word."""
+    """Ids of words by a 64-bit hash of their bytes: open addressing in arrays, about 60 bytes a word."""
 
     def __init__(self, size: int):
         self.size = size
