@@ -27,7 +27,7 @@ WEIGHT = "class_weight"
 
 #: Partitions of the training rows. Forests draw their samples by partition, so the same number gives
 #: the same trees on any cluster; give more for tables that do not fit into so many tasks.
-TRAINING_PARTITIONS = 16
+TRAINING_PARTITIONS = 8
 
 
 def assemble(columns: Sequence[str]) -> VectorAssembler:
