@@ -27,10 +27,15 @@ MAX_NGRAMS = 1_500_000
 #: Words whose scores a Python worker remembers.
 REMEMBERED = 300_000
 #: Calibration rows beyond a bound. A language's bound is at least as far off as its own texts reach
-#: and as most of the way to texts of the other languages, so that mixed texts stay.
-TAIL, WAY = 0.002, 0.75
+#: and as this part of the way to the nearest texts of a language that the models do not have.
+TAIL, WAY = 0.002, 1 / 3
+#: Share of the texts of a left-out language that are nearer than the nearest ones the bound looks at;
+#: a text that mixes its language with known ones is no measure.
+NEAREST = 0.1
 #: What the bound of a text of one letter is higher, in centres; it falls with the root of the letters.
-SHORT = 4
+SHORT = 1
+#: Distinct words from which on the strangest one of a text does not count against it.
+SPARING = 4
 #: Letters from which on a longer text does not make the score surer.
 SURE_LETTERS = 60
 
@@ -80,7 +85,8 @@ class KneserNey:
     share: list[np.ndarray]
     weight: list[np.ndarray]
     floor: np.ndarray
-    #: Per language: the cross-entropy up to which a text is taken, and what one letter adds to it.
+    #: Per language: the cross-entropy, each word in its best language, up to which a text is taken, and
+    #: what one letter adds to it.
     bounds: np.ndarray
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -159,10 +165,27 @@ def scorer(model: KneserNey) -> Scorer:
     return per_worker(("language", model.name), lambda: _scorer(model, _verdict))
 
 
-def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict]) -> Scorer:
-    """What ``say`` makes of the bits of each text. Words recur, so each is scored once as long as it is remembered."""
+def _best_language(model: KneserNey, bits: np.ndarray) -> np.ndarray:
+    """Each word's bits in the language that knows it best: what a text of several languages is made of."""
+    return bits[:, :-1].min(axis=1, keepdims=True)
+
+
+def _best_others(model: KneserNey, bits: np.ndarray) -> np.ndarray:
+    """The same, then without one of the languages after the other, as if the models did not have it."""
+    found = [_best_language(model, bits)]
+    for j in range(len(model.languages)):
+        others = np.delete(bits[:, :-1], j, axis=1)
+        found.append(others.min(axis=1, keepdims=True) if others.shape[1] else -np.log2(model.floor[j]) * bits[:, -1:])
+    return np.hstack(found)
+
+
+def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict], more: Callable = _best_language) -> Scorer:
+    """What ``say`` makes of the bits of each text, and of ``more`` columns of its words.
+
+    Words recur, so each is scored once as long as it is remembered.
+    """
     known: dict[bytes, int] = {}
-    table = np.zeros((1, len(model.languages) + 1))
+    table = np.zeros((1, 0))  # its width is known from the first words on
 
     def learn(words: list[bytes]) -> None:
         nonlocal table
@@ -171,7 +194,10 @@ def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict]) -> S
             found = _runs(word.decode())
             runs += found
             owner += [i] * len(found)
-        fresh = model.bits(runs, np.array(owner, int), len(words))
+        bits = model.bits(runs, np.array(owner, int), len(words))
+        fresh = np.hstack([bits, more(model, bits)])
+        if not table.shape[1]:
+            table = np.zeros((1, fresh.shape[1]))
         first = len(known)
         while first + len(words) > len(table):
             table = np.concatenate([table, np.zeros_like(table)])
@@ -186,7 +212,7 @@ def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict]) -> S
         said = []
         for words in split:
             places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            said.append(say(model, table[places].sum(axis=0)))
+            said.append(say(model, table[places]))
         if len(known) > REMEMBERED:
             for word in new:  # words met early are the common ones
                 del known[word]
@@ -195,23 +221,37 @@ def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict]) -> S
     return score
 
 
-def _verdict(model: KneserNey, sums: np.ndarray) -> dict:
-    letters = int(sums[-1])
+def _verdict(model: KneserNey, rows: np.ndarray) -> dict:
+    n = len(model.languages)
+    sums = rows.sum(axis=0)
+    letters = int(sums[n]) if len(sums) else 0
     if not letters:
         return {"lang_pred": UNKNOWN, "score": 0.0, "cross_entropy": None, "rejected": True}
-    entropy = sums[:-1] / letters
+    entropy = sums[:n] / letters
     best = int(np.argmin(entropy))  # of equal ones the first by name
     odds = np.exp2(-(entropy - entropy[best]) * min(letters, SURE_LETTERS))
     bound, short = model.bounds[best]
-    allowed = bound + short / np.sqrt(letters)
+    beyond = sums[n + 1] / letters > bound + short / np.sqrt(letters)
     return {
         "lang_pred": model.languages[best],
         "score": float(1 / odds.sum()),
         "cross_entropy": float(entropy[best]),
-        "rejected": bool(entropy[best] > allowed),
+        "rejected": bool(beyond and _strange(rows[:, n:], bound, short)),
     }
 
 
+def _strange(rows: np.ndarray, bound: float, short: float) -> bool:
+    """Whether more than one word is at fault; ``rows`` has the letters of each word and its least bits.
+
+    Repetitions make a text no surer, and in a text of a few words one of them may be a key or a name.
+    """
+    words, times = np.unique(rows, axis=0, return_counts=True)
+    allowed = bound + short / np.sqrt(words[:, 0].sum())
+    excess = times * (words[:, 1] - allowed * words[:, 0])
+    spared = max(0.0, excess.max()) if len(words) >= SPARING else 0.0
+    return excess.sum() > spared
+
+
 def _sample(docs: DataFrame, learnable: Column) -> DataFrame | None:
     """About ``TRAIN_ROWS`` rows of each language, by a hash of the id. None if there is none to learn from."""
     usable = docs.where(learnable & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
@@ -265,27 +305,37 @@ def learn(docs: DataFrame, learnable: Column) -> KneserNey | None:
         return None
     model = estimate(counts)
     own = annotate(
-        sample.where(calibrates), ["lang"], "found", "letters long, entropy array<double>", lambda: _scorer(model, _raw)
+        sample.where(calibrates),
+        ["lang"],
+        "found",
+        "letters long, entropy array<double>, mixed double, without array<double>",
+        lambda: _scorer(model, _raw, _best_others),
     )
     return _calibrated(model, own.where("found.letters > 0").select("lang", "found.*").collect())
 
 
-def _raw(model: KneserNey, sums: np.ndarray) -> dict:
-    return {"letters": int(sums[-1]), "entropy": (sums[:-1] / max(1, sums[-1])).tolist()}
+def _raw(model: KneserNey, rows: np.ndarray) -> dict:
+    n = len(model.languages)
+    sums = rows.sum(axis=0) if rows.size else np.zeros(2 * n + 2)
+    each = sums / max(1, sums[n])
+    return {
+        "letters": int(sums[n]), "entropy": each[:n].tolist(), "mixed": float(each[n + 1]) if sums[n] else 0.0,
+        "without": each[n + 2 :].tolist(),
+    }
 
 
 def _calibrated(model: KneserNey, rows: list) -> KneserNey:
-    """Set each language's bound from calibration texts of its own and of the others."""
+    """Set each language's bound from calibration texts of its own, and of every language as if it were unknown."""
     bounds = np.full((len(model.languages), 2), np.inf)
+    unknown = [[r.without[j] for r in rows if r.lang == language] for j, language in enumerate(model.languages)]
+    nearest = min((np.quantile(u, NEAREST) for u in unknown if u), default=np.inf)
     for j, language in enumerate(model.languages):
-        own = np.array([(r.entropy[j], r.letters) for r in rows if r.lang == language and min(r.entropy) == r.entropy[j]])
-        other = np.array([r.entropy[j] for r in rows if r.lang != language and min(r.entropy) < r.entropy[j]])
+        own = np.array([(r.mixed, r.letters) for r in rows if r.lang == language and min(r.entropy) == r.entropy[j]])
         if not len(own):
             continue
         centre = np.median(own[:, 0])
         reach = np.quantile(own[:, 0], 1 - TAIL)
-        foreign = np.median(other) if len(other) else np.log2(1 / model.floor[j])
-        bound = max(reach, centre + WAY * (foreign - centre))
+        bound = max(reach, centre + WAY * (nearest - centre))
         short = np.quantile(np.maximum(own[:, 0] - bound, 0) * np.sqrt(own[:, 1]), 1 - TAIL)
         bounds[j] = bound, max(short, SHORT * centre)
     return replace(model, bounds=bounds, name=uuid.uuid4().hex)
@@ -303,8 +353,9 @@ def identify(docs: DataFrame, columns: list[str], learnable: Column) -> DataFram
 
     ``lang_pred`` is the language with the lowest cross-entropy per letter of the whole text, ``und``
     for a null text, one without letters, or where nothing could be learned. ``score`` is 1 for a sure
-    prediction, and 0 for ``und``. ``rejected`` marks ``und`` and texts whose cross-entropy is beyond
-    what calibration texts of that language have. Equal entropies go to the first language by name;
+    prediction, and 0 for ``und``. ``rejected`` marks ``und`` and texts whose cross-entropy, with every
+    word in its best language so that mixtures of known languages stay, is beyond what calibration texts
+    of that language have. Equal entropies go to the first language by name;
     repeated rows get the same answer. Rows with a null id, text or language are predicted but not
     learned from. Columns that are not named are not read; an empty table gives an empty result.
     """

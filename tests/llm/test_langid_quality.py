@@ -210,3 +210,62 @@ def test_quality_query_on_the_whole_table(spark, sf_dir):
     held = [r for r in rows if r.held_out and r.doc_id in labels]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
     assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+# --- rejection -----------------------------------------------------------------------------------
+
+
+def cut(text, letters):
+    """The first words of a text that have so many letters together."""
+    kept, n = [], 0
+    for word in text.split():
+        if n >= letters:
+            break
+        kept.append(word)
+        n += sum(c.isalpha() for c in word)
+    return " ".join(kept)
+
+
+@pytest.fixture(scope="module")
+def texts_of(sf_dir):
+    import pyarrow.parquet as pq
+
+    path = f"{sf_dir}/documents.parquet".replace("sf0.001", "sf0.1")
+    rows = pq.read_table(path, columns=["text", "lang"]).to_pylist()
+    found = {}
+    for r in rows:
+        if r["text"] and r["lang"]:
+            found.setdefault(r["lang"], []).append(r["text"])
+    return found
+
+
+def trained(texts_of, languages):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pylist([{"lang": j, "text": t} for j in languages for t in texts_of[j][:300]])
+    counts = {}
+    for r in next(langid._ngrams(iter([batch]))).to_pylist():
+        counts.setdefault(r["lang"], {})[r["gram"]] = r["n"]
+    model = langid.estimate(counts)
+    raw = langid._scorer(model, langid._raw, langid._best_others)
+    rows = [SimpleNamespace(lang=j, **found) for j in languages for found in raw(texts_of[j][300:500]) if found["letters"]]
+    return langid._scorer(langid._calibrated(model, rows), langid._verdict)
+
+
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+@pytest.mark.parametrize("letters", [50, 200, 1500])
+def test_a_left_out_language_is_rejected(texts_of, left_out, letters):
+    score = trained(texts_of, [j for j in texts_of if j != left_out])
+    found = score([cut(t, letters) for t in texts_of[left_out][500:600]])
+    assert sum(r["rejected"] for r in found) >= 90
+
+
+def test_known_and_mixed_texts_stay(texts_of):
+    score = trained(texts_of, list(texts_of))
+    for letters in (50, 200, 1500):
+        own = {j: [cut(t, letters) for t in texts[500:600]] for j, texts in texts_of.items()}
+        mixed = [" ".join(parts) for parts in zip(*own.values())]
+        for texts in [*own.values(), mixed]:
+            assert sum(r["rejected"] for r in score(texts)) <= 1
