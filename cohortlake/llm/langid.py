@@ -22,8 +22,9 @@ ORDER = 4
 TRAIN_ROWS = 2000
 #: One in so many of these calibrates the rejection and is not counted.
 CALIBRATION = 5
-#: N-grams of the highest order that the models keep; rarer ones go first.
-MAX_NGRAMS = 1_500_000
+#: Characters per language that the models are learned from, in expectation; rows of longer texts are fewer.
+#: It bounds the n-grams of a language before they are counted, so that all counts are whole.
+TRAIN_CHARACTERS = 8_000_000
 #: Words whose scores a Python worker remembers.
 REMEMBERED = 300_000
 #: Calibration rows beyond a bound. A language's bound is at least as far off as its own texts reach
@@ -253,14 +254,18 @@ def _strange(rows: np.ndarray, bound: float, short: float) -> bool:
 
 
 def _sample(docs: DataFrame, learnable: Column) -> DataFrame | None:
-    """About ``TRAIN_ROWS`` rows of each language, by a hash of the id. None if there is none to learn from."""
+    """About ``TRAIN_ROWS`` rows of each language, by a hash of the id, or fewer that have ``TRAIN_CHARACTERS``.
+
+    None if there is none to learn from.
+    """
     usable = docs.where(learnable & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    rows = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
-    if not rows:
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length(F.col("text").cast("string"))).alias("size"))
+    rates = {r.lang: min(1.0, TRAIN_ROWS / r.n, TRAIN_CHARACTERS / max(1, r.size)) for r in sizes.collect()}
+    if not rates:
         return None
     rate = F.lit(1.0)
-    for language, n in sorted(rows.items()):
-        rate = F.when(F.col("lang") == language, F.lit(min(1.0, TRAIN_ROWS / n))).otherwise(rate)
+    for language, share in sorted(rates.items()):
+        rate = F.when(F.col("lang") == language, F.lit(share)).otherwise(rate)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
     return usable.where(place < rate).select("doc_id", "lang", F.col("text").cast("string"))
 
@@ -297,9 +302,8 @@ def learn(docs: DataFrame, learnable: Column) -> KneserNey | None:
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    rows = counted.orderBy(F.desc("n"), "lang", "gram").limit(MAX_NGRAMS).collect()
     counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for row in rows:
+    for row in counted.collect():
         counts[row.lang][row.gram] = row.n
     if not counts:
         return None

@@ -269,3 +269,17 @@ def test_known_and_mixed_texts_stay(texts_of):
         mixed = [" ".join(parts) for parts in zip(*own.values())]
         for texts in [*own.values(), mixed]:
             assert sum(r["rejected"] for r in score(texts)) <= 1
+
+
+def test_every_language_keeps_all_its_ngrams(docs_of, monkeypatch):
+    """A language of a few rows beside one of many n-grams; the budget is each language's own."""
+    draw = random.Random(4)
+    many = [(k, " ".join("".join(draw.choices("abcdefghijklm", k=6)) for _ in range(60)), "aa") for k in range(200)]
+    few = [(1000 + k, f"öü{chr(0x3B1 + k)}ß ñçø", "bb") for k in range(20)]
+    monkeypatch.setattr(langid, "MAX_NGRAMS", 300, raising=False)  # once a common bound, commonest first
+    monkeypatch.setattr(langid, "TRAIN_CHARACTERS", 20_000, raising=False)
+    rows = predictions(docs_of, many + few)
+    assert all(r.lang_pred == r.lang for r in rows)
+    model = langid.learn(docs_of(many + few), F.lit(True))
+    kept = [np.count_nonzero(model.share[langid.ORDER - 1][:, j]) for j in range(2)]
+    assert kept[0] > 300 and kept[1] > 30
