@@ -19,7 +19,7 @@ from cohortlake.llm.texts import ROWS_AT_ONCE
 SMOOTHING = np.array([1, 4, 6, 4, 1]) / 16
 #: Standard deviations of the fused scores that a content node reaches.
 THRESHOLD = 0.8
-#: Share of the content nodes' text that the main element holds.
+#: Share of the content nodes' text that marked articles hold.
 MAIN_SHARE = 0.8
 #: Share of a block's text inside links from which on it is a menu, and that of a page from which on a form wraps it.
 LINK_SHARE, WRAP_SHARE = 0.5, 0.6
@@ -58,6 +58,9 @@ ARTICLE = frozenset(("article", "main"))
 #: Words before a name that make it a remark about the page's layout.
 REMARKS = frozenset(("has", "with", "no", "without"))
 
+#: Elements that may hold an article, and whose own text is only taken where it reaches the threshold.
+BOXES = frozenset(("", "html", "body", "div", "section", "main", "article", "center", "form"))
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>|"
     r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
@@ -231,6 +234,33 @@ def _scores(blocks: list[Block]) -> list[np.ndarray]:
     return np.split(smooth, np.cumsum([len(b.nodes) for b in blocks])[:-1]) if blocks else []
 
 
+def _main(elements: list[Element], held: dict[int, int]) -> tuple[int, bool]:
+    """The element that the text is taken from, and whether it is marked as the article.
+
+    That is the innermost element around all marked articles (else main elements) with content, if these
+    hold ``MAIN_SHARE`` of it, else the one around all content; a part of the text, as a list or a quote
+    is, is no such element.
+    """
+    for tag in ("article", "main"):
+        tops = [e for e in held if elements[e].tag == tag and not _inside(elements, e, tag)]
+        if sum(held[e] for e in tops) >= MAIN_SHARE * held[0] > 0:
+            if len(tops) == 1:
+                return tops[0], True
+            whole = sum(held[e] for e in tops)
+            return max(e for e, n in held.items() if n >= whole and all(_within(elements, t, e) for t in tops)), False
+    around = max(e for e, n in held.items() if n == held[0])  # inner elements open later
+    while around and elements[around].tag not in BOXES:
+        around = elements[around].parent
+    return around, False
+
+
+def _inside(elements: list[Element], e: int, tag: str) -> bool:
+    e = elements[e].parent
+    while e and elements[e].tag != tag:
+        e = elements[e].parent
+    return e > 0
+
+
 def main_text(page: str | None) -> str:
     """The article's text: blocks with one space for any white space, joined by one space."""
     if not page:
@@ -255,9 +285,12 @@ def main_text(page: str | None) -> str:
                 e = elements[e].parent
     if not held:
         return ""
-    holders = [e for e, n in held.items() if n >= MAIN_SHARE * held[0] and elements[e].tag not in ("p", "h1")]
-    main = max(holders)  # inner elements open later
-    kept = [b for b, s, m in zip(blocks, scores, menu) if not m and _within(elements, b.element, main) and s.mean() >= 0]
+    main, marked = _main(elements, held)
+    kept = [
+        b for b, s, m in zip(blocks, scores, menu)
+        if not m and _within(elements, b.element, main)
+        and (marked or s.mean() >= bound or elements[b.element].tag not in BOXES)
+    ]
     return " ".join(" ".join("".join(b.parts).split()) for b in kept)
 
 
@@ -269,8 +302,9 @@ def extract(pages: DataFrame) -> DataFrame:
     independent, so there is no shuffle; a task holds the pages of a part of an Arrow batch.
 
     Text nodes are grouped by root-to-leaf tag path; text length and punctuation per node of a path are
-    fused, smoothed in page order and held against a threshold. The innermost element with nearly all
-    of the nodes above it is the main one, and its blocks are the text. Elements that by their kind,
+    fused, smoothed in page order and held against a threshold. The article or main element with nearly
+    all of the nodes above it is the main one, else the innermost that holds them all, and its blocks are
+    the text; where it is no marked article, text that stands in a box by itself must be above, too. Elements that by their kind,
     role or name are menus, headers, footers, sidebars, notices, adverts, forms or comments are left
     out before, and blocks of links after.
     """

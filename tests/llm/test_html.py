@@ -76,3 +76,33 @@ def test_table_of_odd_pages(spark):
     assert [r.n_chars for r in found] == [len(f"Head {TEXT}")] * 2 + [0, 0] + [len(f"Head {TEXT}")]
     assert html.extract(frame.limit(0)).columns == ["page_id", "url", "text", "n_chars"]
     assert html.extract(frame.limit(0)).count() == 0
+
+
+LONG = "A long sentence of the article, with many words, and with more of them than the others have. " * 6
+
+
+@pytest.mark.parametrize(
+    "article",
+    [
+        f"<header><h1>Head</h1></header><div class='body'><p>{LONG}</p><p>{LONG}</p></div>",
+        f"<section><h2>One</h2><p>{LONG}</p><p>{LONG}</p></section><section><h2>Two</h2><p>Short end, as it is.</p></section>",
+        f"<h1>Head</h1><p>An introduction, not long.</p><ul><li>{LONG}</li><li>{LONG}</li></ul>",
+        f"<h1>Head</h1><p>An introduction, not long.</p><blockquote><p>{LONG}</p></blockquote>",
+        f"<h1>Head</h1><p>An introduction, not long.</p><pre>{LONG}</pre>",
+        f"<h1>Head</h1><p>An introduction, not long.</p><table><tr><td>{LONG}</td></tr></table>",
+    ],
+)
+@pytest.mark.parametrize("holder", ["article", "main", "div"])
+def test_nothing_beside_the_largest_part_is_lost(article, holder):
+    import re
+
+    expected = " ".join(re.sub("<[^>]*>", " ", article).split())
+    if holder == "div" and article.startswith("<header"):
+        expected = expected.removeprefix("Head ")  # a page's header
+    assert html.main_text(f"<html><body><{holder}>{article}</{holder}></body></html>") == expected
+
+
+def test_boxes_below_the_threshold_are_left_out():
+    body = f"<div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div>Hi</div><div>Go</div><div>Up</div><div>Ok</div><div>By</div>"
+    text = " ".join([LONG.strip()] * 4)
+    assert "By" not in html.main_text(f"<body>{body}<p>The end, of a page, it is.</p></body>").replace(text, "")
