@@ -21,8 +21,10 @@ SMOOTHING = np.array([1, 4, 6, 4, 1]) / 16
 THRESHOLD = 0.8
 #: Share of the content nodes' text that marked articles hold.
 MAIN_SHARE = 0.8
-#: Share of a block's text inside links from which on it is a menu, and that of a page from which on a form wraps it.
+#: Share of a box's text inside links from which on it is a menu, and that of a page from which on a form wraps it.
 LINK_SHARE, WRAP_SHARE = 0.5, 0.6
+#: Blocks in a row that make a menu, each a link without punctuation of at most so many characters.
+MENU_RUN, MENU_CHARS = 3, 30
 
 # Elements of HTML by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,6 +60,9 @@ ARTICLE = frozenset(("article", "main"))
 #: Words before a name that make it a remark about the page's layout.
 REMARKS = frozenset(("has", "with", "no", "without"))
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose own text is a menu if it is mostly links.
+LINK_BOXES = frozenset(("", "html", "body", "div", "section", "main", "article", "center", "form", "ul", "ol", "table", "tr"))
 #: Elements that may hold an article, and whose own text is only taken where it reaches the threshold.
 BOXES = frozenset(("", "html", "body", "div", "section", "main", "article", "center", "form"))
 
@@ -234,6 +239,28 @@ def _scores(blocks: list[Block]) -> list[np.ndarray]:
     return np.split(smooth, np.cumsum([len(b.nodes) for b in blocks])[:-1]) if blocks else []
 
 
+def _menus(elements: list[Element], blocks: list[Block], size: list[int]) -> list[bool]:
+    """Which blocks are menus: boxes of links, and runs of short blocks that are nothing but a link.
+
+    A heading, paragraph, item or cell by itself is text, also where it is linked.
+    """
+    linked = [b.links > LINK_SHARE * n for b, n in zip(blocks, size)]
+    menu = [x and elements[b.element].tag in LINK_BOXES for b, x in zip(blocks, linked)]
+    only = [
+        b.links == n <= MENU_CHARS and elements[b.element].tag not in HEADINGS and not any(p for _, _, p in b.nodes)
+        for b, n in zip(blocks, size)
+    ]
+    at = 0
+    while at < len(blocks):
+        end = at
+        while end < len(blocks) and only[end]:
+            end += 1
+        if end - at >= MENU_RUN:
+            menu[at:end] = [True] * (end - at)
+        at = max(end, at + 1)
+    return menu
+
+
 def _main(elements: list[Element], held: dict[int, int]) -> tuple[int, bool]:
     """The element that the text is taken from, and whether it is marked as the article.
 
@@ -273,7 +300,7 @@ def main_text(page: str | None) -> str:
     scores = _scores(blocks)
     bound = THRESHOLD * np.std(np.concatenate(scores))
     size = [sum(n for _, n, _ in b.nodes) for b in blocks]
-    menu = [b.links > LINK_SHARE * n for b, n in zip(blocks, size)]
+    menu = _menus(elements, blocks, size)
     held: dict[int, int] = defaultdict(int)
     for b, s, n, linked in zip(blocks, scores, size, menu):
         if not linked and s.mean() >= bound:
@@ -306,7 +333,7 @@ def extract(pages: DataFrame) -> DataFrame:
     all of the nodes above it is the main one, else the innermost that holds them all, and its blocks are
     the text; where it is no marked article, text that stands in a box by itself must be above, too. Elements that by their kind,
     role or name are menus, headers, footers, sidebars, notices, adverts, forms or comments are left
-    out before, and blocks of links after.
+    out before, and menus of links after: boxes that are mostly links, and runs of short linked blocks.
     """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

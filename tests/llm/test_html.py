@@ -106,3 +106,21 @@ def test_boxes_below_the_threshold_are_left_out():
     body = f"<div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div>Hi</div><div>Go</div><div>Up</div><div>Ok</div><div>By</div>"
     text = " ".join([LONG.strip()] * 4)
     assert "By" not in html.main_text(f"<body>{body}<p>The end, of a page, it is.</p></body>").replace(text, "")
+
+
+def test_linked_headings_paragraphs_and_references_are_text():
+    article = (
+        f"<h1><a href='/a'>Head</a></h1>{ARTICLE}<h2>Part <a href='#part'>permanent link</a></h2>"
+        "<p><a href='/b'>One linked phrase</a></p><ol>"
+        + "".join(f"<li><a href='/{k}'>Author, A. Title number {k} of the journal. 2001.</a></li>" for k in range(5))
+        + "</ol>"
+    )
+    references = " ".join(f"Author, A. Title number {k} of the journal. 2001." for k in range(5))
+    assert html.main_text(page(article=article)) == f"Head {TEXT} Part permanent link One linked phrase {references}"
+
+
+@pytest.mark.parametrize("tag", ["li", "p", "td"])
+def test_runs_of_short_links_are_menus(tag):
+    menu = "".join(f"<{tag}><a href='/{k}'>Place {k}</a></{tag}>" for k in range(5))
+    menu = {"li": f"<ul>{menu}</ul>", "p": menu, "td": f"<table><tr>{menu}</tr></table>"}[tag]
+    assert html.main_text(page(article=f"<h1>Head</h1>{menu}{ARTICLE}")) == f"Head {TEXT}"
