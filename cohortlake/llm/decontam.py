@@ -69,8 +69,8 @@ class Space:
     latent: np.ndarray  # weighted latent vectors; the last, of all other terms, is zero
     owner: np.ndarray  # item of each passage
     offset: np.ndarray  # its first word in the item
-    queries: np.ndarray  # latent passages over their squared length
-    length: np.ndarray  # length of the passages
+    queries: np.ndarray  # latent passages over their weight
+    length: np.ndarray  # weight of the passages over their length
     least: float  # weight of a document's passage below which it can be no candidate
 
 
@@ -118,9 +118,12 @@ def _frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.ndarray,
 
 
 def _sparse(parts: list[np.ndarray], weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Terms and weights of each passage: term frequency times inverse document frequency."""
-    counted = (np.unique(p, return_counts=True) for p in parts)
-    return [(terms, n * weight[terms]) for terms, n in counted]
+    """Terms of each passage and the roots of their weights.
+
+    Times a document's passage, which has its roots as often as it has the term, they give the weight
+    of all words that both hold: no less than that of any common subsequence.
+    """
+    return [(terms, np.sqrt(weight[terms])) for terms in map(np.unique, parts)]
 
 
 def _times(rows: list[tuple[np.ndarray, np.ndarray]], right: np.ndarray) -> np.ndarray:
@@ -191,12 +194,8 @@ def build_index(docs: DataFrame, items: DataFrame) -> Index | None:
 
 
 def _needed(item: Item, start: int, stop: int, weight: np.ndarray) -> float:
-    """Weight of a document's passage below which it cannot hold ``CANDIDATE`` of this benchmark passage.
-
-    A term counts in a share once for each time that the benchmark's passage has it.
-    """
-    terms, n = np.unique(item.words[start:stop], return_counts=True)
-    return CANDIDATE * float(((n * weight[terms]) ** 2).sum() / n.max())
+    """Weight of a document's passage below which it cannot hold ``CANDIDATE`` of this benchmark passage."""
+    return CANDIDATE * float(weight[item.words[start:stop]].sum())
 
 
 def _alike(items: list[Item], cuts: list[tuple[int, int, int]], weight: np.ndarray) -> list[list[tuple[int, int, int]]]:
@@ -223,12 +222,12 @@ def _space(spark, items: list[Item], cuts: list[tuple[int, int, int]], weight: n
     rows = _sparse([local[items[k].words[a:b]] for k, a, b in cuts], weight[own])
     basis = latent_space(spark, rows, len(own))
     passages = _times(rows, basis)
-    square = (passages**2).sum(axis=1)
-    latent = np.vstack([basis * weight[own][:, None], np.zeros((1, basis.shape[1]))])
+    whole = np.array([weight[items[k].words[a:b]].sum() for k, a, b in cuts])
+    latent = np.vstack([basis * np.sqrt(weight[own])[:, None], np.zeros((1, basis.shape[1]))])
     least = min(_needed(items[k], a, b, weight) for k, a, b in cuts)
     return Space(
         local, latent.astype(np.float32), np.array([k for k, _, _ in cuts]), np.array([a for _, a, _ in cuts]),
-        (passages / square[:, None]).T.astype(np.float32), np.sqrt(square), 0.999 * least,
+        (passages / whole[:, None]).T.astype(np.float32), whole / np.sqrt((passages**2).sum(axis=1)), 0.999 * least,
     )
 
 
@@ -274,9 +273,9 @@ def search(index: Index, texts: list[str | None]) -> list[list[dict]]:
 
 def _candidates(space: Space, weight: np.ndarray, flat: np.ndarray, follows: np.ndarray) -> Iterator[tuple]:
     """Passages (by their first block), benchmark passages, and the share of these that they hold."""
-    square = np.append(weight[:-1] ** 2, 0.0)
-    square[space.local == len(space.latent) - 1] = 0.0
-    mass = np.append(square[flat].sum(axis=1), 0.0)
+    own = np.append(weight[:-1], 0.0)
+    own[space.local == len(space.latent) - 1] = 0.0
+    mass = np.append(own[flat].sum(axis=1), 0.0)
     able = np.flatnonzero(mass[:-1] + mass[1:] * follows >= space.least)
     for at in range(0, len(able), _PASSAGES_AT_ONCE):
         rows = able[at : at + _PASSAGES_AT_ONCE]
@@ -306,7 +305,8 @@ def _verify(index: Index, item: Item, ids: np.ndarray, near: list[tuple]) -> dic
         if common < COPY and answer < ANSWER:
             continue
         passage = ids[block * BLOCK : (block + 2) * BLOCK]
-        norm = math.sqrt(float((index.weight[passage] ** 2).sum()))
+        terms, times = np.unique(passage, return_counts=True)
+        norm = math.sqrt(float((times**2 * index.weight[terms]).sum()))
         best = {
             "item_id": item.item_id, "cosine": min(1.0, share * length / norm), "lcs": common,
             "answer": answer, "first_word": low, "words": len(region),

@@ -114,3 +114,18 @@ def test_query_finds_what_shingles_find(spark, sf_dir):
     expected = {(d, i) for d, s in documents.items() for i, b in benchmark.items() if len(s & b) >= 0.8 * len(b)}
     rows = __spark_entry__.queries()["op5_decontam"](spark, sf_dir).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == expected and expected
+
+
+def test_paraphrases_with_rare_words_replaced_are_candidates(spark, docs_of):
+    """Thirty common words and three rare ones of ten times their weight, two of these replaced; the answer is there."""
+    common = [f"c{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(30)]
+    question = [*common[:10], "rarex", *common[10:20], "rarey", *common[20:26], "rarez"]
+    item = f"{' '.join(question)}. {' '.join(common[26:])}."
+    copy = item.replace("rarex", "otherx").replace("rarey", "othery")
+    others = [(k, " ".join(common)) for k in range(100, 300)] + [(k, f"filler{k} words") for k in range(300, 450)]
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = decontam.contaminated(docs_of([(1, copy), *others]), benchmark).collect()
+    index = decontam.build_index(docs_of([(1, copy), *others]), benchmark.selectExpr("item_id", "text", "cast(null as string) answer"))
+    rare, plain = index.weight[index.terms[b"rarex"]], index.weight[index.terms[b"caa"]]
+    assert 7 < rare / plain < 12
+    assert [r.item_id for r in found if r.doc_id == 1] == [7]
