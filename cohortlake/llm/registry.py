@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import chat, decontam, embeddings, html, langid, packing, quality, sharding, simhash, warc
+from cohortlake.llm import (
+    chat, collocations, decontam, embeddings, html, langid, lexical, neighbours, packing, quality, sharding, simhash,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +87,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(_table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_html": op1_html,
     "op2_quality": op2_quality,
@@ -95,6 +110,9 @@ REGISTRY = {
     "op8_warc": op8_warc,
     "op9_embeddings": op9_embeddings,
     "op10_sharding": op10_sharding,
+    "op11_neighbours": op11_neighbours,
+    "op12_lexical": op12_lexical,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -133,4 +151,69 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'third', file, CAST(place AS BIGINT), length, 'missing'
         FROM placed WHERE page_id % 101 = 7""",
+    "op12_lexical": r"""
+        WITH said AS (
+            SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL
+        ), spoken AS (
+            SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM said WHERE len(terms) > 0
+        ), size AS (
+            SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM spoken
+        ), wanted AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE text IS NOT NULL
+        ), posting AS (
+            SELECT row, term, CAST(count(*) AS BIGINT) AS tf
+            FROM (SELECT row, unnest(terms) AS term FROM spoken)
+            WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+        ), weight AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM posting GROUP BY term), size
+        ), scored AS (
+            SELECT item_id, doc_id, row, CAST(sum(
+                w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) AS BIGINT) AS score
+            FROM posting JOIN weight USING (term) JOIN wanted USING (term) JOIN spoken USING (row), size
+            GROUP BY ALL HAVING score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+        WHERE rank <= 10""",
+    "op13_collocations": r"""
+        WITH piece AS (
+            SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+            FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+        ), size AS (
+            SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM piece GROUP BY lang
+        ), gram AS (
+            SELECT lang, words[i : i + k - 1] AS p
+            FROM (SELECT lang, words, k, unnest(range(1, CAST(len(words) - k + 2 AS BIGINT))) AS i
+                  FROM piece, (SELECT unnest([1, 2, 3, 4]) AS k))
+        ), often AS (
+            SELECT lang, p, CAST(count(*) AS BIGINT) AS a FROM gram GROUP BY lang, p HAVING count(*) >= 30
+        ), cut AS (
+            SELECT lang, p, a, k, p[1 : k] AS head, p[k + 1 :] AS tail
+            FROM (SELECT *, unnest(range(1, CAST(len(p) AS BIGINT))) AS k FROM often)
+        ), lowest AS (
+            SELECT lang, p, a, min((2000000 * CAST(a AS HUGEINT) // (l + r), k, l, r)) AS best
+            FROM (SELECT cut.*, h.a AS l, t.a AS r FROM cut
+                  JOIN often h ON h.lang = cut.lang AND h.p = head JOIN often t ON t.lang = cut.lang AND t.p = tail)
+            GROUP BY ALL
+        ), inside AS (
+            SELECT lang, p[s : s + m - 1] AS p, max(a) AS longer
+            FROM (SELECT lang, p, a, m, unnest(range(1, CAST(len(p) - m + 2 AS BIGINT))) AS s
+                  FROM (SELECT *, unnest(range(2, CAST(len(p) AS BIGINT))) AS m FROM often WHERE len(p) > 2))
+            GROUP BY ALL
+        ), kept AS (
+            SELECT lang, array_to_string(p, ' ') AS phrase, a, best[3] AS l, best[4] AS r, CAST(best[1] AS BIGINT) AS score
+            FROM lowest LEFT JOIN inside USING (lang, p)
+            WHERE longer IS NULL OR 100 * longer < 80 * a
+        )
+        SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        JOIN size USING (lang) WHERE rank <= 2000""",
 }
