@@ -6,10 +6,9 @@ import sys
 import pytest
 
 import corpus_pipeline
-from cohortlake.llm import decontam, packing, simhash
+from cohortlake.llm import decontam, packing
 from cohortlake.session import materialize
 from tests.llm.test_packing import PATH, check
-from tests.llm.test_simhash import brute_components
 
 
 @pytest.fixture(scope="module")
@@ -88,11 +87,26 @@ def test_language_and_quality_against_plain_rules(stages, spark, sf_dir):
 
 def test_near_duplicates_against_all_pairs(stages):
     before, after = stages["near_duplicates"]
-    rows = [(r.doc_id, r.text) for r in before.collect()]
-    fps = sorted((i, simhash.fingerprint(t) & (1 << 64) - 1) for i, t in rows if i is not None)
-    expected = sorted(set(brute_components(fps).values()))
-    assert [i for i in ids(after) if i is not None] == sorted(expected, key=str)
-    assert ids(after).count(None) == 1
+    sets = {}
+    for r in before.where("doc_id is not null").collect():
+        said = (r.text or "").encode().lower().split()
+        assert r.doc_id not in sets
+        sets[r.doc_id] = {tuple(said[k : k + 5]) for k in range(max(1, len(said) - 4))} if said else set()
+    least = {i: i for i in sets}
+    pairs = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    while any(least[a] != least[b] for a, b in pairs):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    assert [i for i in ids(after) if i is not None] == sorted(set(least.values()), key=str)
+    assert len(set(least.values())) < len(sets) and ids(after).count(None) == 1
+
+
+def test_rows_that_share_an_id_are_decided_one_by_one(spark, docs_of, folder):
+    texts = [" ".join(f"{w}{k}" for k in range(40)) for w in "abc"]
+    rows = [(3, texts[0]), (5, texts[0]), (5, texts[1]), (7, texts[2]), (7, texts[2]), (None, texts[0]), (9, ""), (8, None)]
+    kept = corpus_pipeline.without_copies(spark, docs_of(rows), folder[0])
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(3, texts[0]), (5, texts[1]), (7, texts[2]), (None, texts[0]), (8, None)], key=str)
 
 
 def test_decontamination_against_shingles(stages, spark, folder):
