@@ -91,3 +91,46 @@ def test_stamps_ahead_of_the_clock_measure_nothing(spark):
     frame = spark.createDataFrame([(2_000,), (90_000,)], "event_ts_ms bigint")
     assert latency.mean_latency_s(frame, 1_000).first()["e2e_latency_s"] is None
     assert latency.mean_latency_s(frame, 100_000).first()["e2e_latency_s"] == 54.0
+
+
+def test_percentiles_where_the_sketch_is_off(spark, monkeypatch):
+    """Brackets that miss the rank are counted again over the whole range."""
+    monkeypatch.setattr(latency, "SKETCH_K", 8)
+    monkeypatch.setattr(latency, "SKETCH_ROOM", 1e-9)
+    draw = random.Random(7)
+    rows = [(g, draw.randrange(1 << 40)) for g in ("a", "b", "c") for _ in range(5000)]
+    frame = spark.createDataFrame([*rows, (None, 1)], "g string, v bigint").repartition(7)
+    found = {r["g"]: r for r in latency.latency_percentiles(frame, "v", SHARES, "g").collect()}
+    assert set(found) == {"a", "b", "c"}
+    for g, row in found.items():
+        mine = [v for h, v in rows if h == g]
+        assert {n: row[n] for n in SHARES} == {n: nearest_rank(mine, s) for n, s in SHARES.items()}
+
+
+def test_percentiles_read_their_input_twice(spark, tmp_path):
+    """Whatever the values' range is: once for the sketches, once for the brackets."""
+    spark.range(1000).selectExpr("id % 2 AS g", "(1L << 61) + id * id * 1000003 AS v").write.parquet(str(tmp_path / "t"))
+    from unittest import mock
+
+    scanned = []
+    kept = latency.materialize
+
+    def watched(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        scanned.append((name, plan.count("parquet") and str(tmp_path) in str(df.inputFiles())))
+        return kept(df, name)
+
+    with mock.patch.object(latency, "materialize", watched):
+        result = latency.latency_percentiles(spark.read.parquet(str(tmp_path / "t")), "v", SHARES, "g")
+    assert [name for name, reads in scanned if reads] == ["brackets", "inside-brackets"]
+    assert str(tmp_path) not in str(result.inputFiles())
+
+
+def test_bucket_tables_add_up(spark):
+    draw = random.Random(3)
+    rows = [(draw.randrange(3), draw.randrange(1 << draw.randrange(1, 40))) for _ in range(3000)]
+    frame = spark.createDataFrame(rows, "g int, latency_us bigint")
+    parts = [latency.bucket_counts(frame.where(f"latency_us % 3 = {k}"), by=["g"]) for k in range(3)]
+    whole = latency.latency_histogram(frame, by=["g"])
+    merged = latency.running_shares(latency.merge_buckets(parts, ["g"]), ["g"])
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
