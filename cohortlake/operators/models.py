@@ -25,9 +25,14 @@ from cohortlake.session import discard, stored
 
 WEIGHT = "class_weight"
 
-#: Partitions of the training rows. Forests draw their samples by partition, so the same number gives
-#: the same trees on any cluster; give more for tables that do not fit into so many tasks.
-TRAINING_PARTITIONS = 8
+#: Forests draw their samples by partition, so the number of partitions is part of the model. It follows
+#: from the number of labelled rows alone: no partition holds more than ``ROWS_AT_MOST`` of them in
+#: expectation, and up to ``SPREAD`` partitions are made as long as each has ``ROWS_AT_LEAST``.
+ROWS_AT_MOST, ROWS_AT_LEAST, SPREAD = 1 << 20, 1 << 14, 10_000
+
+
+def training_partitions(rows: int) -> int:
+    return max(1, -(-rows // ROWS_AT_MOST), min(SPREAD, -(-rows // ROWS_AT_LEAST)))
 
 
 def assemble(columns: Sequence[str]) -> VectorAssembler:
@@ -125,14 +130,14 @@ def prepare_training(
     df: DataFrame,
     key: str = "event_seq",
     columns: Sequence[str] = tuple(schema.FEATURES),
-    partitions: int = TRAINING_PARTITIONS,
+    partitions: int | None = None,
 ) -> TrainingSet:
     """Split labelled rows by key, weight the classes and fit the feature stages once.
 
     The used columns are written first: ranges, weights, vectors and tests then read finished columns,
     whose derivations would otherwise be planned and computed again in each of these passes. The
-    training rows are dealt by a hash of key and row into ``partitions`` and sorted, whatever the
-    input's partitions are. Every tree level and gradient step reads their vectors, so these are kept
+    training rows are dealt by a hash of key and row into ``partitions``, by default as many as
+    ``training_partitions`` makes of the labelled rows, and sorted, whatever the input's partitions are. Every tree level and gradient step reads their vectors, so these are kept
     in memory with overflow to disk.
     """
     used = records.resolve_features(df, columns)
@@ -141,7 +146,8 @@ def prepare_training(
     # Weights count all training rows; the assembler then skips those with a missing feature.
     weighted = sampling.apply_weights(train, sampling.class_weights(train), name=WEIGHT)
     place = F.xxhash64(*rows.columns)
-    dealt = weighted.repartition(partitions, F.col(key), place).sortWithinPartitions(key, place)
+    parts = training_partitions(rows.count()) if partitions is None else partitions
+    dealt = weighted.repartition(parts, F.col(key), place).sortWithinPartitions(key, place)
     features = fit_features(train, used)
     vectors = features.transform(dealt).select(key, "label", WEIGHT, "features")
     return TrainingSet(features, used, vectors.persist(StorageLevel.MEMORY_AND_DISK), test, path)

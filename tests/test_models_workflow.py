@@ -109,3 +109,28 @@ def test_paced_replay_holds_its_rate(spark, tmp_path):
     stamps = [r["event_ts_ms"] for r in found]
     assert stamps == sorted(stamps) and stamps[-1] <= time.time() * 1000
     assert 2_500 <= stamps[-1] - stamps[0] <= 1000 * elapsed
+
+
+def test_training_partitions_follow_from_the_rows():
+    parts = models.training_partitions
+    assert [parts(n) for n in (0, 1, models.ROWS_AT_LEAST, models.ROWS_AT_LEAST + 1)] == [1, 1, 1, 2]
+    assert parts(models.SPREAD * models.ROWS_AT_LEAST) == parts(models.SPREAD * models.ROWS_AT_MOST) == models.SPREAD
+    assert parts(10**13) == -(-(10**13) // models.ROWS_AT_MOST)
+    sizes = [parts(10**k) for k in range(14)]
+    assert sizes == sorted(sizes)
+
+
+def test_same_forest_and_partitions_from_one_and_from_64_splits(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(models, "ROWS_AT_LEAST", 100)
+    rows = records.enrich(students(spark, sf_dir).filter("event_seq < 700"))
+    forest = models.random_forest().setNumTrees(5)
+    found = []
+    for splits in (1, 64):
+        training = models.prepare_training(rows.repartition(splits))
+        assert training.train.rdd.getNumPartitions() == models.training_partitions(records.known_labels(rows).count()) > 1
+        found.append(forest.fit(training.train).toDebugString.split("\n", 1)[1])
+        training.close()
+    assert found[0] == found[1]
+    few = models.prepare_training(rows.filter("event_seq < 90"))
+    assert few.train.rdd.getNumPartitions() == 1
+    few.close()
