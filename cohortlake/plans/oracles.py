@@ -375,4 +375,16 @@ ORACLES: dict[str, str] = {
     )
     + f"SELECT {_PERSISTED} FROM enriched",
     "stream_resume": _with(STUDENTS) + _stream_counts(),
+    # Messages without an id cannot be told apart, so those that were sent again are there twice.
+    "stream_once": _with(
+        STUDENTS,
+        f"received AS (SELECT {_RECORD}, event_seq AS sent_as FROM students WHERE NOT ({_BAD}))",
+        "stored AS (SELECT * FROM received UNION ALL SELECT * FROM received WHERE event_id = '' AND sent_as % 3 = 0)",
+        f"enriched AS (SELECT *, {_DERIVED} FROM stored)",
+    )
+    + f"SELECT {_PERSISTED}, event_id FROM enriched",
+    "replay_delivery": _with(STUDENTS)
+    + "SELECT i AS iteration, event_seq, i || '_' || event_seq AS event_id, target, admission_grade "
+    "FROM students, (SELECT unnest([0::bigint, 1::bigint]) AS i)",
 }
+ORACLES["stream_histogram"] = ORACLES["latency_histogram"]

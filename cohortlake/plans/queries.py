@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,10 @@ from cohortlake.plans import cases
 from cohortlake.plans.context import context
 from cohortlake.session import fresh_path, scan_partitions
 from cohortlake.sources import batches, delimited, messages, results
+from cohortlake.streaming import histogram as streaming_histogram
 from cohortlake.streaming import ingest as streaming
+from cohortlake.streaming.delivery import CommittedFolder
+from cohortlake.streaming.replay import replay_units
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -540,3 +544,59 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     streaming.run_until_drained(start)
     kept = batches.scan_parquet(spark, out).count()
     return spark.read.parquet(rejected).select("key", F.lit(kept).cast("bigint").alias("kept"))
+
+
+@query
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of an ingest that stores each event once; the second brings a third of the first again."""
+    inbox, out, mark = (fresh_path(spark, n) for n in ("inbox", "ingested", "ingest-checkpoint"))
+    sent = cases.spoiled_messages(_whole(spark, sf_dir))
+    third = F.col("key").cast("bigint") % 3
+    for arrived in (sent.filter(third < 2), sent.filter(third == 2).unionByName(sent.filter(third == 0))):
+        arrived.write.mode("append").parquet(inbox)
+        stream = messages.read_messages(spark, "parquet", inbox)
+        streaming.drain(streaming.stream_ingest(stream, out, mark, extra=("event_id",), once_within="1 hour"))
+    return batches.scan_parquet(spark, out)
+
+
+@query
+def stream_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of two ingests added up, the first of which was drained twice."""
+    samples = latency.latency_samples_by_mode(sends(spark, sf_dir))
+    part = F.pmod(F.xxhash64("mode", "latency_us"), F.lit(3))
+    tables = []
+    for arrivals in ([part == 0, part == 1], [part == 2]):
+        inbox, mark = fresh_path(spark, "samples"), fresh_path(spark, "samples-checkpoint")
+        folder = CommittedFolder(spark, fresh_path(spark, "buckets"))
+        for arrived in arrivals:
+            samples.filter(arrived).write.mode("append").parquet(inbox)
+            stream = spark.readStream.schema(samples.schema).parquet(inbox)
+            streaming_histogram.stream_histogram(stream, folder, mark, by=["mode"]).awaitTermination()
+        tables.append(streaming_histogram.newest_buckets(folder))
+    return latency.running_shares(latency.merge_buckets(tables, ["mode"]), ["mode"])
+
+
+@query
+def replay_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records replayed twice into a folder; the first delivery fails after it has written."""
+    folder, mark = CommittedFolder(spark, fresh_path(spark, "delivered")), fresh_path(spark, "replay-checkpoint")
+    table = _whole(spark, sf_dir)
+    rows, failed = table.count(), []
+
+    def deliver(unit: str, due: DataFrame) -> None:
+        if folder.log.has(unit):
+            return
+        attempt = folder.stage(unit, due)
+        if not failed:
+            failed.append(attempt)
+            raise OSError(f"the connection was lost after {attempt}")
+        folder.commit(unit, attempt)
+
+    for _ in range(2):
+        try:
+            replay_units(table, rows, max(1, rows), 2, deliver, mark, seq="event_seq")
+            break
+        except StreamingQueryException:
+            if len(failed) != 1:
+                raise
+    return folder.read().select("iteration", "event_seq", "event_id", "target", "admission_grade")

@@ -20,11 +20,30 @@ from cohortlake.sources import messages
 OBSERVED = "ingest"
 
 
-def ingest(stream: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def once_per_event(records_: DataFrame, within: str) -> DataFrame:
+    """Records without those that repeat an ``event_id`` within so much event time.
+
+    A stream keeps the ids of that time in its state, spread over the cluster by id; the watermark
+    follows the greatest ``event_ts_ms`` at that distance, and a record from before it, whose copies
+    are forgotten, is dropped as late (``IngestCounters.late``). Choose the time so that no record
+    comes that late. Records without an id or a time cannot be told apart and all stay.
+    """
+    named = (F.col("event_id") != "") & (F.col("event_ts_ms") > 0)
+    keyed = records_.withColumns({
+        "_at": F.when(named, F.timestamp_millis("event_ts_ms")),
+        "_key": F.when(named, F.concat(F.lit("id "), "event_id")).otherwise(F.concat(F.lit("row "), F.uuid())),
+    })
+    if not keyed.isStreaming:
+        return keyed.dropDuplicates(["_key"]).drop("_at", "_key")
+    return keyed.withWatermark("_at", within).dropDuplicatesWithinWatermark(["_key"]).drop("_at", "_key")
+
+
+def ingest(stream: DataFrame, extra: tuple[str, ...] = (), once_within: str | None = None) -> DataFrame:
     """Messages to persisted records; works on a stream and on a batch alike.
 
     Malformed messages are dropped and counted in the metrics observed under ``ingest``. Name
-    ``event_id`` in ``extra`` to store it behind the fixed columns.
+    ``event_id`` in ``extra`` to store it behind the fixed columns. With ``once_within``, a time such
+    as ``"1 hour"``, a message sent again is stored once (see ``once_per_event``).
     """
     decoded = messages.decode_json(stream)
     counted = decoded.observe(
@@ -33,6 +52,8 @@ def ingest(stream: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
         F.count_if("valid").alias("kept"),
     )
     good = counted.filter("valid").select("record.*")
+    if once_within is not None:
+        good = once_per_event(good, once_within)
     return records.project_record(records.enrich(good), extra)
 
 
@@ -44,14 +65,16 @@ def stream_ingest(
     extra: tuple[str, ...] = (),
     until_drained: bool = True,
     interval: str = "10 seconds",
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest. It resumes where the run with the same checkpoint ended.
 
     ``until_drained`` processes what is there and stops; otherwise it runs at the given interval.
     How much one batch takes is set on the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
+    ``once_within`` is a property of the checkpoint: start all its runs with or without it.
     """
     writer = (
-        ingest(stream, extra)
+        ingest(stream, extra, once_within)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out)
@@ -99,37 +122,75 @@ def ingest_with_rejects(
     return writer.trigger(availableNow=True).start()
 
 
-def run_until_drained(start: Callable[[], StreamingQuery], tries: int = 3) -> IngestCounters:
-    """Drain the query that ``start`` starts; after an error of its source go on from the checkpoint.
+#: Words of errors that another try cannot mend: the plan, the data's layout or the checkpoint is wrong.
+LASTING = ("AnalysisException", "ParseException", "StateSchema", "UnsupportedOperation", "FileFormat", "ClassNotFound")
+
+
+def may_pass(error: StreamingQueryException) -> bool:
+    """Whether an error of a query is of the kind that goes away, as those of a source or a lost node do."""
+    return not any(word in str(error) for word in LASTING)
+
+
+def run_until_drained(
+    start: Callable[[], StreamingQuery],
+    tries: int = 3,
+    pause_s: float = 1.0,
+    longest_s: float = 60.0,
+    passing: Callable[[StreamingQueryException], bool] = may_pass,
+    sleep: Callable[[float], None] = time.sleep,
+    **waiting,
+) -> IngestCounters:
+    """Drain the query that ``start`` starts; after an error that may pass go on from the checkpoint.
 
-    The error of the last of ``tries`` is raised.
+    Before each further try it waits, twice as long as before it, ``longest_s`` at most; a try that took
+    in new messages starts the count and the waits anew. ``waiting`` goes to ``drain``, so a query that
+    runs on is looked after as well. The counts cover all tries: a batch that a failed try finished is
+    counted once. A lasting error, and the error of the last of ``tries``, is raised.
     """
-    for left in reversed(range(tries)):
+    if tries < 1:
+        raise ValueError("at least one try is needed")
+    seen, failures = _Progress(), 0
+    while True:
+        before = seen.batches
         try:
-            return drain(start())
+            return drain(start(), seen=seen, **waiting)
         except StreamingQueryException as error:
-            if not left:
+            failures = 1 if seen.batches > before else failures + 1
+            if failures >= tries or not passing(error):
                 raise
-            warnings.warn(f"the ingest is started again: {error}", stacklevel=2)
-    raise ValueError("at least one try is needed")
+            wait = min(longest_s, pause_s * 2 ** (failures - 1))
+            warnings.warn(f"the ingest is started again in {wait:g} s: {error}", stacklevel=2)
+            sleep(wait)
 
 
 @dataclass
 class IngestCounters:
+    """``kept`` are the well-formed messages; of these ``repeated`` and ``late`` ones are not stored."""
+
     batches: int = 0
     received: int = 0
     kept: int = 0
+    repeated: int = 0
+    late: int = 0
 
     @property
     def dropped(self) -> int:
         return self.received - self.kept
 
+    @property
+    def stored(self) -> int:
+        return self.kept - self.repeated - self.late
+
 
 class _Progress:
     """Adds up a query's batches; polled more often than the query forgets its progress."""
 
     def __init__(self) -> None:
-        self._seen: dict[int, tuple[int, int]] = {}
+        self._seen: dict[int, tuple[int, int, int, int]] = {}
+
+    @property
+    def batches(self) -> int:
+        return len(self._seen)
 
     def poll(self, query: StreamingQuery) -> bool:
         """Take in new batches; whether any of them brought messages."""
@@ -140,15 +201,14 @@ class _Progress:
                 continue
             if progress["batchId"] not in self._seen:
                 news = True
-                self._seen[progress["batchId"]] = (observed["received"], observed["kept"])
+                states = progress["stateOperators"]
+                repeated = sum(s["customMetrics"].get("numDroppedDuplicateRows", 0) for s in states)
+                late = sum(s["numRowsDroppedByWatermark"] for s in states)
+                self._seen[progress["batchId"]] = (observed["received"], observed["kept"], repeated, late)
         return news
 
     def counters(self) -> IngestCounters:
-        return IngestCounters(
-            batches=len(self._seen),
-            received=sum(received for received, _ in self._seen.values()),
-            kept=sum(kept for _, kept in self._seen.values()),
-        )
+        return IngestCounters(len(self._seen), *(sum(n) for n in zip(*self._seen.values())))
 
 
 def drain(
@@ -156,26 +216,29 @@ def drain(
     idle_s: float | None = None,
     timeout_s: float | None = None,
     poll_s: float = 0.2,
+    seen: _Progress | None = None,
 ) -> IngestCounters:
-    """Wait until the query has stopped and return what it took in.
+    """Wait until the query has stopped and return what it took in, with what ``seen`` holds already.
 
     A query that ran until drained ends by itself. For one that runs on, ``idle_s`` stops it after
     that long without a message. There is no time limit unless ``timeout_s`` sets one. An error of
     the query is raised here.
     """
-    seen = _Progress()
+    seen = _Progress() if seen is None else seen
     deadline = None if timeout_s is None else time.monotonic() + timeout_s
     last_news = time.monotonic()
-    while not query.awaitTermination(poll_s):
-        now = time.monotonic()
-        if seen.poll(query):
-            last_news = now
-        if deadline is not None and now > deadline:
-            query.stop()
-            raise TimeoutError(f"the ingest did not end within {timeout_s} s")
-        if idle_s is not None and now - last_news > idle_s and not query.status["isTriggerActive"]:
-            query.stop()
-    seen.poll(query)
+    try:
+        while not query.awaitTermination(poll_s):
+            now = time.monotonic()
+            if seen.poll(query):
+                last_news = now
+            if deadline is not None and now > deadline:
+                query.stop()
+                raise TimeoutError(f"the ingest did not end within {timeout_s} s")
+            if idle_s is not None and now - last_news > idle_s and not query.status["isTriggerActive"]:
+                query.stop()
+    finally:
+        seen.poll(query)  # also what a query finished before its error
     return seen.counters()
 
 

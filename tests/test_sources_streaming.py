@@ -208,3 +208,87 @@ def test_paced_replay(spark, tmp_path):
     assert all(later - earlier >= 190 for earlier, later in zip(times, times[1:]))
     with pytest.raises(ValueError):
         replay_stream(numbered, rate=0)
+
+
+def test_messages_sent_again_are_stored_once(spark, sf_dir, tmp_path):
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    sent = cases.spoiled_messages(students(spark, sf_dir).filter("event_seq < 600"))
+
+    def run(arrived):
+        arrived.write.mode("append").parquet(inbox)
+        stream = messages.read_messages(spark, "parquet", inbox)
+        return ingest.drain(ingest.stream_ingest(stream, out, mark, extra=("event_id",), once_within="1 minute"))
+
+    again = sent.filter("cast(key as int) % 2 = 1")
+    first, second = run(sent.unionByName(again)), run(again)
+    good = messages.decode_strict(sent)[0].cache()
+    unnamed = good.filter("event_id = ''").count()
+    stored = batches.scan_parquet(spark, out)
+    ids = [r["event_id"] for r in stored.collect()]
+    named = sorted(i for i in ids if i)
+    assert named == sorted(r["event_id"] for r in good.filter("event_id <> ''").collect())
+    assert unnamed and len(ids) - len(named) == 3 * unnamed  # nothing tells these apart
+    assert first.repeated > 0 and second.repeated > 0 and first.late == second.late == 0
+    assert first.stored + second.stored == len(ids)
+    batch = ingest.ingest(sent.unionByName(again), ("event_id",), once_within="1 minute").filter("event_id <> ''")
+    assert batch.count() == len(named)
+
+
+def test_late_records_are_counted(spark, tmp_path):
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+
+    def run(*stamps):
+        rows = [(str(t), text(event_ts_ms=t, event_id=f"e{t}")) for t in stamps]
+        spark.createDataFrame(rows, "key string, value string").write.mode("append").parquet(inbox)
+        stream = messages.read_messages(spark, "parquet", inbox)
+        return ingest.drain(ingest.stream_ingest(stream, out, mark, once_within="1 second"))
+
+    assert run(100_000, 200_000).stored == 2
+    counted = run(100_001, 199_500)
+    assert (counted.kept, counted.late, counted.repeated) == (2, 1, 0)
+    assert batches.scan_parquet(spark, out).count() == 3
+
+
+def test_retries_wait_longer_and_keep_their_counts(spark, tmp_path):
+    """A source that fails twice: what earlier tries finished is counted once, in the end."""
+    inbox, out, mark, bad = (str(tmp_path / n) for n in ("in", "out", "mark", "bad"))
+    for k in range(4):
+        spark.createDataFrame([(str(k), text())] * (k + 1), "key string, value string").coalesce(1).write.mode("append").parquet(inbox)
+    pauses, starts = [], []
+
+    def start():
+        from pyspark.sql import functions as F
+
+        starts.append(1)
+        stream = messages.read_messages(spark, "parquet", inbox, maxFilesPerTrigger=1)
+        if len(starts) <= 2:  # the second, or the next, batch breaks
+            rotten = F.when(F.col("key").cast("int") >= 2, F.raise_error(F.lit("source lost"))).otherwise(F.col("value"))
+            stream = stream.withColumn("value", rotten.cast("string"))
+        return ingest.stream_ingest(stream, out, mark)
+
+    counted = ingest.run_until_drained(start, tries=3, pause_s=0.5, sleep=pauses.append)
+    assert len(starts) == 3 and pauses == [0.5, 1.0]
+    stored = batches.scan_parquet(spark, out).count()
+    assert (counted.received, counted.kept, stored) == (10, 10, 10)
+    with pytest.raises(ValueError):
+        ingest.run_until_drained(start, tries=0)
+
+
+def test_lasting_errors_are_raised_at_once(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+    from pyspark.sql import functions as F
+
+    spark.createDataFrame([("1", text())], "key string, value string").write.parquet(str(tmp_path / "in"))
+    pauses = []
+
+    def start():
+        stream = messages.read_messages(spark, "parquet", str(tmp_path / "in"))
+        broken = F.raise_error(F.lit("AnalysisException: no such column")).cast("string")
+        return ingest.stream_ingest(stream.withColumn("value", broken), str(tmp_path / "out"), str(tmp_path / "mark"))
+
+    with pytest.raises(StreamingQueryException):
+        ingest.run_until_drained(start, sleep=pauses.append)
+    assert pauses == []
+    with pytest.raises(StreamingQueryException):
+        ingest.run_until_drained(start, tries=4, pause_s=3, longest_s=5, passing=lambda error: True, sleep=pauses.append)
+    assert pauses == [3, 5, 5]
