@@ -5,7 +5,7 @@ from __future__ import annotations
 from cohortlake import fixtures, schema
 from cohortlake.operators.gates import QUALITY_CRITERIA, SYSTEM_CRITERIA, Criterion
 from cohortlake.plans import cases
-from cohortlake.plans.queries import NOW_MS
+from cohortlake.plans.queries import DELAY_LATENESS_MS, NOW_MS
 
 _F = schema.FEATURES
 _COLUMNS = fixtures.student_columns()
@@ -386,5 +386,14 @@ ORACLES: dict[str, str] = {
     "replay_delivery": _with(STUDENTS)
     + "SELECT i AS iteration, event_seq, i || '_' || event_seq AS event_id, target, admission_grade "
     "FROM students, (SELECT unnest([0::bigint, 1::bigint]) AS i)",
+    "stream_delay": "WITH rows AS (SELECT event_id, epoch_us(ts) // 1000 AS t, event_id % 977 AS delay, "
+    "event_id % 5 > 0 AND event_id % 3 > 0 AS early FROM events), "
+    "judged AS (SELECT *, t // 86400000 * 86400000 AS w, NOT early AND t // 86400000 * 86400000 + 86400000 "
+    f"+ {DELAY_LATENESS_MS} <= (SELECT max(t) FROM rows WHERE early) AS late FROM rows) "
+    "SELECT w AS window_start_ms, count(*) FILTER (NOT late) AS stamped_rows, "
+    "round(cast(sum(delay) FILTER (NOT late) AS double) / count(*) FILTER (NOT late) / 1000, 4) AS mean_delay_s, "
+    "count(*) FILTER (late) AS late_rows FROM judged GROUP BY w",
 }
+# The same tables, reached on another way.
 ORACLES["stream_histogram"] = ORACLES["latency_histogram"]
+ORACLES["stream_latest"] = ORACLES["latest_per_key"]

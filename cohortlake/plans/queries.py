@@ -18,6 +18,7 @@ from cohortlake.session import fresh_path, scan_partitions
 from cohortlake.sources import batches, delimited, messages, results
 from cohortlake.streaming import histogram as streaming_histogram
 from cohortlake.streaming import ingest as streaming
+from cohortlake.streaming import reports as streaming_reports
 from cohortlake.streaming.delivery import CommittedFolder
 from cohortlake.streaming.replay import replay_units
 
@@ -26,6 +27,7 @@ REGISTRY: dict[str, Query] = {}
 
 NOW_MS = cases.START_MS + 100_000
 PERCENTILES = {"p50": 500, "p99": 990}
+DELAY_LATENESS_MS = 5 * 86_400_000
 
 
 def query(function: Query) -> Query:
@@ -600,3 +602,34 @@ def replay_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
             if len(failed) != 1:
                 raise
     return folder.read().select("iteration", "event_seq", "event_id", "target", "admission_grade")
+
+
+@query
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest event per user out of three arrivals, of which the last holds the oldest hours."""
+    inbox, mark = fresh_path(spark, "reports-inbox"), fresh_path(spark, "reports-checkpoint")
+    folder = CommittedFolder(spark, fresh_path(spark, "latest"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    hour = F.expr(f"{epoch_us('ts')} div 3600000000")
+    rows = events.select("user_id", "event_id", hour.alias("hour"), "event_type", "value")
+    old = F.pmod("hour", F.lit(3)) == 0
+    for arrived in (rows.where(~old & (F.col("event_id") % 2 == 0)), rows.where(~old & (F.col("event_id") % 2 == 1)), rows.where(old)):
+        arrived.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox)
+        streaming_reports.stream_latest(stream, folder, mark, ["user_id"], "hour", "event_id").awaitTermination()
+    return streaming_reports.latest_rows(folder, ["user_id"])
+
+
+@query
+def stream_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delay per day of event time over two arrivals; what the second brings for closed days is late."""
+    inbox, mark = fresh_path(spark, "delay-inbox"), fresh_path(spark, "delay-checkpoint")
+    folder = CommittedFolder(spark, fresh_path(spark, "delays"))
+    stamp = F.expr(f"{epoch_us('ts')} div 1000")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", stamp.alias("event_ts_ms"))
+    arrived_ms = F.col("event_ts_ms") + F.col("event_id") % 977
+    for arrived in (rows.where("event_id % 5 > 0 AND event_id % 3 > 0"), rows.where("NOT (event_id % 5 > 0 AND event_id % 3 > 0)")):
+        arrived.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox)
+        streaming_reports.stream_delay(stream, folder, mark, arrived_ms, 86_400_000, DELAY_LATENESS_MS).awaitTermination()
+    return _rounded(streaming_reports.delay_windows(folder), ["mean_delay_s"])

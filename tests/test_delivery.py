@@ -5,6 +5,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from cohortlake.operators.replay import with_sequence
+from cohortlake.streaming import reports
 from cohortlake.streaming.delivery import CommitLog, CommittedFolder
 from cohortlake.streaming.replay import paced_replay, replay_into, replay_units
 
@@ -126,3 +127,56 @@ def test_folder_shows_what_is_committed(spark, tmp_path):
     assert folder.read_unit("2").count() == 2
     with pytest.raises(FileNotFoundError):
         folder.read_unit("3")
+
+
+def fed(spark, inbox, rows, kind, start):
+    """One arrival of rows, drained."""
+    spark.createDataFrame(rows, kind).write.mode("append").parquet(inbox)
+    start(spark.readStream.schema(kind).parquet(inbox)).awaitTermination()
+
+
+def test_latest_rows_whatever_order_they_come_in(spark, tmp_path):
+    kind, folder = "k string, ts bigint, name string, v int", CommittedFolder(spark, str(tmp_path / "out"))
+
+    def arrive(*rows):
+        fed(spark, str(tmp_path / "in"), list(rows), kind, lambda stream: reports.stream_latest(
+            stream, folder, str(tmp_path / "mark"), ["k"], "ts", "name"))
+        return {r["k"]: (r["ts"], r["name"], r["v"]) for r in reports.latest_rows(folder, ["k"]).collect()}
+
+    assert arrive(("a", 5, "x", 1), ("a", 7, "z", 2), ("b", 1, "x", 3), ("c", None, "x", 9)) == {
+        "a": (7, "z", 2), "b": (1, "x", 3), "c": (None, "x", 9),
+    }
+    assert arrive(("a", 7, "y", 4), ("c", -(1 << 63), "z", 5)) == {"a": (7, "y", 4), "b": (1, "x", 3), "c": (-(1 << 63), "z", 5)}
+    assert arrive(("a", 6, "a", 6), (None, 1, "n", 7)) == {
+        "a": (7, "y", 4), "b": (1, "x", 3), "c": (-(1 << 63), "z", 5), None: (1, "n", 7),
+    }
+
+
+def test_delay_windows_close_and_count_what_is_late(spark, tmp_path):
+    kind, folder = "event_ts_ms bigint, at bigint", CommittedFolder(spark, str(tmp_path / "out"))
+
+    def arrive(*rows):
+        fed(spark, str(tmp_path / "in"), list(rows), kind, lambda stream: reports.stream_delay(
+            stream, folder, str(tmp_path / "mark"), F.col("at"), 1000, 2000))
+        return {r["window_start_ms"]: tuple(r)[1:] for r in reports.delay_windows(folder).collect()}
+
+    assert arrive((1100, 1200), (1900, 2200), (0, 5), (2500, 2600)) == {1000: (2, 0.2, 0), 2000: (1, 0.1, 0)}
+    # the first window is still open, and in the same batch nothing is late
+    assert arrive((1000, 1500), (9000, 9001)) == {1000: (3, 0.3, 0), 2000: (1, 0.1, 0), 9000: (1, 0.001, 0)}
+    assert arrive((1500, 99000), (7000, 7500), (5999, 9000)) == {
+        1000: (3, 0.3, 1), 2000: (1, 0.1, 0), 9000: (1, 0.001, 0), 7000: (1, 0.5, 0), 5000: (0, None, 1),
+    }
+
+
+def test_a_repeated_batch_changes_no_report(spark, tmp_path):
+    """The query dies after the batch's unit is committed; the batch comes again."""
+    kind, inbox, mark = "event_ts_ms bigint, at bigint", str(tmp_path / "in"), str(tmp_path / "mark")
+    folder = Failing(spark, str(tmp_path / "out"), ["written", "committed"])
+    spark.createDataFrame([(1100, 1200), (1300, 1300)], kind).write.parquet(inbox)
+
+    def start():
+        stream = spark.readStream.schema(kind).parquet(inbox)
+        reports.stream_delay(stream.withColumn("seq", F.lit(0)), folder, mark, F.col("at"), 1000, 2000).awaitTermination()
+
+    assert restarted(start) == 2
+    assert [tuple(r) for r in reports.delay_windows(folder).collect()] == [(1000, 2, 0.05, 0)]
