@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -57,6 +57,10 @@ NOISE_STARTS = ("advert", "breadcrumb", "cookie", "navbar", "newsletter", "sideb
 OUTER_NAMES = frozenset(("header", "topbar", "top"))
 OWN = frozenset(("article", "content", "entry", "post", "story"))
 ARTICLE = frozenset(("article", "main"))
+#: Names of what readers wrote, which is never the article however long it is.
+READERS = frozenset("comment comments commentlist reply replies respond discussion disqus".split())
+#: First words of names that say what an article is about.
+TOPICS = frozenset(("category", "tag", "tags", "topic", "keyword"))
 #: Words before a name that make it a remark about the page's layout.
 REMARKS = frozenset(("has", "with", "no", "without"))
 
@@ -66,9 +70,11 @@ LINK_BOXES = frozenset(("", "html", "body", "div", "section", "main", "article",
 #: Elements that may hold an article, and whose own text is only taken where it reaches the threshold.
 BOXES = frozenset(("", "html", "body", "div", "section", "main", "article", "center", "form"))
 
+#: A tag ends at the first ``>`` outside quotes, else at the first at all; nothing is tried twice.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>|"
-    r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
+    r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)"
+    r"(?:(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|(?P<bare>[^>]*+)>)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -80,51 +86,61 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 class Element:
     tag: str
     parent: int
-    noise: bool
+    noise: str  # why it is noise by itself: "" if it is not, else "kind", "form", "name" or "readers"
+    root: int  # the nearest element, itself included, that is noise by itself; 0 if there is none
+    path: int  # number of its tag path
+    linked: bool  # a link is around
     inside: bool  # an article or main element is around
 
 
 @dataclass
 class Block:
-    """Text between two block boundaries, and the element that holds it."""
+    """Text between two block boundaries, the element that holds it, and the nearest noise around."""
 
     element: int
-    noise: bool
+    root: int
     parts: list[str] = field(default_factory=list)
     links: int = 0
-    nodes: list[tuple[str, int, int]] = field(default_factory=list)  # tag path, characters, punctuation
+    nodes: list[tuple[int, int, int]] = field(default_factory=list)  # tag path, characters, punctuation
 
 
-def _is_noise(tag: str, rest: str, inside: bool) -> bool:
+def _noise_of(tag: str, rest: str, inside: bool) -> str:
+    """Why an element is noise by itself; the empty text if it is not."""
     if tag in NOISE or tag == "header" and not inside:
-        return True
+        return "form" if tag == "form" else "kind"
     if "=" not in rest and "hidden" not in rest:
-        return False
+        return ""
     values = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(rest)}
     if values.get("role", "").lower() in NOISE_ROLES or values.get("aria-hidden", "").lower() == "true":
-        return True
+        return "kind"
     if "display:none" in values.get("style", "").replace(" ", "").lower() or re.search(r"\shidden(?=[\s/]|\Z)", rest):
-        return True
+        return "kind"
     if tag in ("html", "body"):
-        return False
+        return ""
+    found = ""
     for name in f"{values.get('class', '')} {values.get('id', '')}".split():
         words = [w.lower() for w in _NAME_PARTS.findall(name)]
+        if len(words) > 1 and words[0] in TOPICS:
+            continue
         for k, word in enumerate(words):
             before = words[k - 1] if k else ""
             if before in REMARKS:
                 continue
+            if word in READERS or before + word in READERS:
+                return "readers"
             if word in NOISE_NAMES or before + word in NOISE_NAMES or word.startswith(NOISE_STARTS):
-                return True
+                found = "name"
             if word in OUTER_NAMES and not inside and before not in OWN:
-                return True
-    return False
+                found = "name"
+    return found
 
 
 def parse(page: str) -> tuple[list[Element], list[Block]]:
     """Elements and text blocks of a page, with open ends closed the way browsers do."""
-    elements = [Element("", 0, False, False)]
+    elements = [Element("", 0, "", 0, 0, False, False)]
     stack, blocks, block = [0], [], None
-    at, end = 0, len(page)
+    paths, open_ = {}, Counter()
+    at, end = 0, page.rfind(">") + 1  # no tag ends behind
 
     def text(piece: str) -> None:
         nonlocal block
@@ -133,34 +149,37 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
         top = stack[-1]
         if block is None:
             holder = next(e for e in reversed(stack) if elements[e].tag not in INLINE)
-            block = Block(holder, elements[top].noise)
+            block = Block(holder, elements[top].root)
             blocks.append(block)
-        elif elements[top].noise != block.noise:  # an inline element may be noise too
-            block = Block(block.element, elements[top].noise)
+        elif elements[top].root != block.root:  # an inline element may be noise too
+            block = Block(block.element, elements[top].root)
             blocks.append(block)
         piece = html.unescape(piece)
         block.parts.append(piece)
         length = len("".join(piece.split()))
         if length:
-            tags = [elements[e].tag for e in stack[1:]]
-            block.links += length if "a" in tags else 0
-            block.nodes.append(("/".join(tags), length, len(_PUNCTUATION.findall(piece))))
+            block.links += length if elements[top].linked else 0
+            block.nodes.append((elements[top].path, length, len(_PUNCTUATION.findall(piece))))
 
     def close(tags: tuple[str, ...], scopes: frozenset[str]) -> None:
+        if not any(open_[tag] for tag in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if elements[stack[k]].tag in tags:
+                open_.subtract(elements[e].tag for e in stack[k:])
                 del stack[k:]
                 return
             if elements[stack[k]].tag in scopes:
                 return
 
     while at < end:
-        token = _TOKEN.search(page, at)
+        token = _TOKEN.search(page, at, end)
         if token is None:
-            text(page[at:])
             break
         text(page[at : token.start()])
         at = token.end()
+        if token[0].startswith("<!--") and not token[0].endswith("-->") or token["cdata"] is not None and not token[0].endswith("]]>"):
+            at = len(page)  # open to the end of the page
         if token["cdata"] is not None:
             text(html.escape(token["cdata"], quote=False))
         if token["name"] is None:
@@ -185,42 +204,66 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
             continue
         around = elements[stack[-1]]
         inside = around.inside or around.tag in ARTICLE
-        noise = around.noise or _is_noise(tag, token["rest"], inside)
-        if token["rest"].endswith("/") and tag in ("svg", "path", "use"):
+        rest = token["bare"] if token["rest"] is None else token["rest"]
+        if rest.endswith("/") and tag in ("svg", "path", "use"):
             continue
-        elements.append(Element(tag, stack[-1], noise, inside))
-        stack.append(len(elements) - 1)
+        noise, number = _noise_of(tag, rest, inside), len(elements)
+        path = paths.setdefault((around.path, tag), len(paths) + 1)
+        elements.append(Element(tag, stack[-1], noise, number if noise else around.root, path, around.linked or tag == "a", inside))
+        stack.append(number)
+        open_[tag] += 1
+    text(page[at:].partition("<!--")[0])
     return elements, blocks
 
 
-def _unwrap(elements: list[Element], blocks: list[Block]) -> None:
-    """A form that holds most of the page's text wraps the page and is no noise by itself."""
-    if not any(e.tag == "form" for e in elements):
-        return
-    size = [sum(n for _, n, _ in b.nodes) for b in blocks]
-    held: dict[int, int] = defaultdict(int)
+def _sums(elements: list[Element], blocks: list[Block], size: list[int]) -> list[int]:
+    """Characters below each element; parents come before their children."""
+    held = [0] * len(elements)
     for b, n in zip(blocks, size):
-        e = b.element
-        while e:
-            held[e] += n
-            e = elements[e].parent
-    wraps = {e for e, n in held.items() if elements[e].tag == "form" and n > WRAP_SHARE * sum(size)}
-    if not wraps:
-        return
-    own = {}
-    for k, e in enumerate(elements):  # parents come first
-        named = e.noise and not elements[e.parent].noise and k not in wraps
-        own[k] = named or k > 0 and own[e.parent]
-    if any(elements[e].parent and elements[elements[e].parent].noise for e in wraps):
-        return
-    for b in blocks:
-        b.noise = own[b.element] or b.noise and not any(_within(elements, b.element, w) for w in wraps)
+        held[b.element] += n
+    for e in range(len(elements) - 1, 0, -1):
+        held[elements[e].parent] += held[e]
+    return held
+
 
+def _under(elements: list[Element], around: int) -> list[bool]:
+    """Which elements are this one or below it."""
+    found = [False] * len(elements)
+    for e, element in enumerate(elements):
+        found[e] = e == around or e > 0 and found[element.parent]
+    return found
 
-def _within(elements: list[Element], e: int, around: int) -> bool:
-    while e > around:
-        e = elements[e].parent
-    return e == around
+
+def _silent(elements: list[Element], reasons: tuple[str, ...], spared: frozenset[int] = frozenset()) -> list[bool]:
+    """Which elements are noise, or below some, for one of the reasons."""
+    found = [False] * len(elements)
+    for e, element in enumerate(elements):
+        found[e] = element.noise in reasons and e not in spared or e > 0 and found[element.parent]
+    return found
+
+
+def _heard(elements: list[Element], blocks: list[Block]) -> list[Block]:
+    """The blocks that are no noise.
+
+    A form that holds most of the page's text wraps the page, and an element whose name alone speaks
+    against it is none if it holds nearly all that the path scores take for content: names lower what a
+    part of a page counts, they never remove the article. What readers wrote stays noise.
+    """
+    size = [sum(n for _, n, _ in b.nodes) for b in blocks]
+    whole, spared = sum(size), set()
+    if any(e.noise == "form" for e in elements):
+        held = _sums(elements, blocks, size)
+        spared |= {k for k, e in enumerate(elements) if e.noise == "form" and held[k] > WRAP_SHARE * whole}
+    if any(e.noise == "name" for e in elements):
+        hard = _silent(elements, ("kind", "form", "readers"), frozenset(spared))
+        some = [(b, n) for b, n in zip(blocks, size) if not hard[b.root]]
+        held = _sums(elements, [b for b, _ in some], [n for _, n in some])
+        likely = [k for k, e in enumerate(elements) if e.noise == "name" and held[k] >= MAIN_SHARE * held[0] > 0]
+        if likely:
+            prose = _sums(elements, *_content([b for b, _ in some if b.nodes], elements)[:2])
+            spared |= {k for k in likely if prose[k] >= MAIN_SHARE * prose[0] > 0}
+    noise = _silent(elements, ("kind", "form", "name", "readers"), frozenset(spared))
+    return [b for b in blocks if b.nodes and not noise[b.root]]
 
 
 def _scores(blocks: list[Block]) -> list[np.ndarray]:
@@ -261,7 +304,17 @@ def _menus(elements: list[Element], blocks: list[Block], size: list[int]) -> lis
     return menu
 
 
-def _main(elements: list[Element], held: dict[int, int]) -> tuple[int, bool]:
+def _content(blocks: list[Block], elements: list[Element]) -> tuple[list[Block], list[int], list[np.ndarray], list[bool], float]:
+    """Blocks at or over the threshold that are no menus, and their sizes; scores, menus and the threshold of all."""
+    scores = _scores(blocks)
+    bound = THRESHOLD * np.std(np.concatenate(scores))
+    size = [sum(n for _, n, _ in b.nodes) for b in blocks]
+    menu = _menus(elements, blocks, size)
+    some = [k for k, s in enumerate(scores) if not menu[k] and s.mean() >= bound]
+    return [blocks[k] for k in some], [size[k] for k in some], scores, menu, bound
+
+
+def _main(elements: list[Element], held: list[int]) -> tuple[int, bool]:
     """The element that the text is taken from, and whether it is marked as the article.
 
     That is the innermost element around all marked articles (else main elements) with content, if these
@@ -269,54 +322,42 @@ def _main(elements: list[Element], held: dict[int, int]) -> tuple[int, bool]:
     is, is no such element.
     """
     for tag in ("article", "main"):
-        tops = [e for e in held if elements[e].tag == tag and not _inside(elements, e, tag)]
+        around = [False] * len(elements)  # is such an element around
+        for e in range(1, len(elements)):
+            up = elements[e].parent
+            around[e] = around[up] or up > 0 and elements[up].tag == tag
+        tops = [e for e in range(len(elements)) if held[e] and elements[e].tag == tag and not around[e]]
         if sum(held[e] for e in tops) >= MAIN_SHARE * held[0] > 0:
             if len(tops) == 1:
                 return tops[0], True
-            whole = sum(held[e] for e in tops)
-            return max(e for e, n in held.items() if n >= whole and all(_within(elements, t, e) for t in tops)), False
-    around = max(e for e, n in held.items() if n == held[0])  # inner elements open later
+            below = [0] * len(elements)
+            for e in tops:
+                below[e] = 1
+            for e in range(len(elements) - 1, 0, -1):
+                below[elements[e].parent] += below[e]
+            return max(e for e, n in enumerate(below) if n == len(tops)), False
+    around = max(e for e, n in enumerate(held) if n == held[0])  # inner elements open later
     while around and elements[around].tag not in BOXES:
         around = elements[around].parent
     return around, False
 
 
-def _inside(elements: list[Element], e: int, tag: str) -> bool:
-    e = elements[e].parent
-    while e and elements[e].tag != tag:
-        e = elements[e].parent
-    return e > 0
-
-
 def main_text(page: str | None) -> str:
     """The article's text: blocks with one space for any white space, joined by one space."""
     if not page:
         return ""
     elements, blocks = parse(page)
-    _unwrap(elements, blocks)
-    blocks = [b for b in blocks if b.nodes and not b.noise]
+    blocks = _heard(elements, blocks)
     if not blocks:
         return ""
-    scores = _scores(blocks)
-    bound = THRESHOLD * np.std(np.concatenate(scores))
-    size = [sum(n for _, n, _ in b.nodes) for b in blocks]
-    menu = _menus(elements, blocks, size)
-    held: dict[int, int] = defaultdict(int)
-    for b, s, n, linked in zip(blocks, scores, size, menu):
-        if not linked and s.mean() >= bound:
-            e = b.element
-            while True:
-                held[e] += n
-                if not e:
-                    break
-                e = elements[e].parent
-    if not held:
+    content, size, scores, menu, bound = _content(blocks, elements)
+    if not content:
         return ""
-    main, marked = _main(elements, held)
+    main, marked = _main(elements, _sums(elements, content, size))
+    inside = _under(elements, main)
     kept = [
         b for b, s, m in zip(blocks, scores, menu)
-        if not m and _within(elements, b.element, main)
-        and (marked or s.mean() >= bound or elements[b.element].tag not in BOXES)
+        if not m and inside[b.element] and (marked or s.mean() >= bound or elements[b.element].tag not in BOXES)
     ]
     return " ".join(" ".join("".join(b.parts).split()) for b in kept)
 

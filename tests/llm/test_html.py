@@ -124,3 +124,54 @@ def test_runs_of_short_links_are_menus(tag):
     menu = "".join(f"<{tag}><a href='/{k}'>Place {k}</a></{tag}>" for k in range(5))
     menu = {"li": f"<ul>{menu}</ul>", "p": menu, "td": f"<table><tr>{menu}</tr></table>"}[tag]
     assert html.main_text(page(article=f"<h1>Head</h1>{menu}{ARTICLE}")) == f"Head {TEXT}"
+
+
+PROSE = "".join(f"<p>{'This is a sentence of the article, with some words in it. ' * 4}</p>" for _ in range(3))
+SAID = " ".join(["This is a sentence of the article, with some words in it. " * 3 + "This is a sentence of the article, with some words in it."] * 3)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><div class="sidebar-right">{PROSE}</div></body>',
+        f'<div class="l-sidebar-wrap"><div class="sidebar"><a href=x>menu</a></div><article>{PROSE}</article></div>',
+        f'<article class="post category-social tag-search">{PROSE}</article>',
+        f'<main class="with-widget-area ad-supported">{PROSE}<div class="share"><a href=x>share this</a></div></main>',
+        f'<form id=aspnet><div class="banner-page">{PROSE}</div></form>',
+    ],
+)
+def test_names_do_not_remove_the_article(page):
+    assert html.main_text(page) == SAID
+
+
+def test_names_still_remove_parts_of_a_page_and_what_readers_wrote():
+    assert html.main_text(f'<div>{PROSE}</div><div class="sidebar"><p>An aside. It says a little, not much.</p></div>') == SAID
+    assert html.main_text(f'<div>{PROSE}</div><section class="comments">{PROSE * 9}</section>') == SAID
+    assert html.main_text(f'<article>{PROSE}</article><div id="respond"><article class="comment">{PROSE * 9}</article></div>') == SAID
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " + '"x" ' * 250_000,
+        '<a "x" "x" ' * 90_000,
+        "<a b " * 200_000,
+        "<a '" * 100_001 + ">",
+        "<div>x " * 20_000,
+        "<div>" * 20_000 + "</x>" * 20_000 + "text",
+        "<!--" * 200_000,
+        "<![CDATA[" * 100_000,
+    ],
+)
+def test_bad_markup_takes_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 5
+
+
+def test_open_ends():
+    assert html.main_text(f"{PROSE}<!-- open <p>gone</p>") == SAID
+    assert html.main_text(f"{PROSE} tail < 3 <!-- open") == SAID + " tail < 3"
+    assert html.main_text(f'{PROSE}<p class="a>lost</p>') == SAID + " lost"
