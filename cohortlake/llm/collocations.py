@@ -22,9 +22,10 @@ BEST = 2000
 COVERED = 80
 #: Words after which a task closes its chunks (a piece of text is never cut).
 CHUNK_WORDS = 1 << 21
-#: Suffixes of a bucket in expectation, and occurrences from which on a word does not end a suffix's route.
+#: Suffixes of a bucket in expectation, and occurrences from which on a word does not end a suffix's route:
+#: only what would fill half a bucket by itself is spread, because its phrases are then counted in parts.
 BUCKET_SUFFIXES = 1 << 21
-HOT = BUCKET_SUFFIXES // 16
+HOT = BUCKET_SUFFIXES // 2
 #: What a language is called that is not given.
 UNKNOWN = "und"
 
