@@ -264,8 +264,9 @@ def search(index: Index, texts: list[str | None]) -> list[list[dict]]:
             near = (share, int(row - first[text]), int(space.offset[query]), float(space.length[query]))
             hits[text, int(space.owner[query])].append(near)
     found: list[list[dict]] = [[] for _ in texts]
+    present = np.zeros(len(index.weight), bool)
     for (text, owner), near in sorted(hits.items()):
-        said = _verify(index, index.items[owner], numbers[text], sorted(near, reverse=True))
+        said = _verify(index, index.items[owner], numbers[text], sorted(near, reverse=True), present)
         if said:
             found[text].append(said)
     return found
@@ -279,24 +280,33 @@ def _candidates(space: Space, weight: np.ndarray, flat: np.ndarray, follows: np.
     able = np.flatnonzero(mass[:-1] + mass[1:] * follows >= space.least)
     for at in range(0, len(able), _PASSAGES_AT_ONCE):
         rows = able[at : at + _PASSAGES_AT_ONCE]
-        summed = space.latent[space.local[flat[rows]]].sum(axis=1)
-        second = rows[follows[rows] == 1]
-        summed[follows[rows] == 1] += space.latent[space.local[flat[second + 1]]].sum(axis=1)
+        paired = follows[rows] == 1
+        needed = np.union1d(rows, rows[paired] + 1)  # a block is summed once, as first and as second half
+        sums = space.latent[space.local[flat[needed]]].sum(axis=1)
+        summed = sums[np.searchsorted(needed, rows)]
+        summed[paired] += sums[np.searchsorted(needed, rows[paired] + 1)]
         share = summed @ space.queries
         for row, query in np.argwhere(share >= CANDIDATE):
             yield int(rows[row]), int(query), float(share[row, query])
 
 
-def _verify(index: Index, item: Item, ids: np.ndarray, near: list[tuple]) -> dict | None:
-    """The best candidate passage whose words, in order, give the item or a paraphrase with its answer."""
+def _verify(index: Index, item: Item, ids: np.ndarray, near: list[tuple], present: np.ndarray) -> dict | None:
+    """The best candidate passage whose words, in order, give the item or a paraphrase with its answer.
+
+    ``present`` marks terms of a region; it is clear before and after.
+    """
     n, slack = len(item.words), len(item.words) // 4 + 8
+    weight = index.weight[item.words]
+    least = PARAPHRASE * weight.sum()
     best = None
     for share, block, offset, length in near:
         start = block * BLOCK - offset
         low, high = max(0, start - slack), start + 2 * BLOCK + n + slack
         region = ids[low:high]
-        held = index.weight[item.words[np.isin(item.words, region)]].sum()
-        if held < PARAPHRASE * index.weight[item.words].sum():
+        present[region] = True
+        held = weight[present[item.words]].sum()
+        present[region] = False
+        if held < least:
             continue  # not even in any order
         common = common_share(item.words, region, index.weight)
         if common < PARAPHRASE or best and common <= best["lcs"]:
