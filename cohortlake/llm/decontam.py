@@ -11,6 +11,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from cohortlake.llm.texts import ROWS_AT_ONCE
 BLOCK = 32
 #: Words of a benchmark passage at most: every run of as many words lies whole in some passage.
 PART = BLOCK
-#: Benchmark items with fewer words are not searched: any text may hold them by chance.
+#: Benchmark items with fewer words are found only where a text holds all of them in a row.
 LEAST_WORDS = 5
 #: Benchmark passages that span a latent space, so its rank at most; more passages make more spaces.
 RANK = 256
@@ -34,6 +35,11 @@ COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 SEED = 5
 _PASSAGES_AT_ONCE = 512
 
+#: Scripts written without spaces between words: each of their characters is one.
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}"
+_WORD = regex.compile(rf"[{_UNSPACED}]|(?:(?![{_UNSPACED}])[\p{{L}}\p{{N}}\p{{M}}])+")
+#: Beyond these, ASCII and the accented letters of the Latin blocks, a text has to be looked at by character.
+_BEYOND_LATIN = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ɏ]")
 #: ASCII characters that part words: all but letters and digits.
 _PARTS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _SENTENCE = re.compile(r"[.!?。！？]+\s+|\n+")
@@ -42,8 +48,11 @@ FIELDS = "item_id long, cosine double, lcs double, answer double, first_word lon
 
 
 def words(text: str | None) -> list[bytes]:
-    """Lower-cased runs of letters and digits; characters beyond ASCII belong to words."""
-    return (text or "").lower().encode().translate(_PARTS).split()
+    """Lower-cased runs of letters, marks and digits; single characters of scripts without spaces."""
+    text = (text or "").lower()
+    if text.isascii() or not _BEYOND_LATIN.search(text):
+        return text.encode().translate(_PARTS).split()
+    return [word.encode() for word in _WORD.findall(text)]
 
 
 def answer_words(text: str | None, answer: str | None) -> list[bytes]:
@@ -82,6 +91,7 @@ class Index:
     weight: np.ndarray  # one more than terms: that of words which are none of them
     items: list[Item]
     spaces: list[Space]
+    short: dict[int, tuple[np.ndarray, dict[int, list[Item]]]]  # by number of words: keys, and the items of each
 
 
 def _parts(n: int) -> list[tuple[int, int]]:
@@ -94,7 +104,7 @@ def _benchmark(items: DataFrame) -> list[tuple[int, list[bytes], list[bytes]]]:
     """Usable items with their words and answers, ordered by id; at most ``ITEMS_AT_ONCE`` in expectation."""
     rows = sorted((r.item_id, r.text or "", r.answer or "") for r in items.collect())
     found = ((i, words(text), answer_words(text, answer)) for i, text, answer in dict.fromkeys(rows))
-    return [item for item in found if len(item[1]) >= LEAST_WORDS]
+    return [item for item in found if item[1]]
 
 
 def _frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.ndarray, int]:
@@ -188,9 +198,49 @@ def build_index(docs: DataFrame, items: DataFrame) -> Index | None:
     frequency, total = _frequencies(docs, terms)
     weight = np.log((1 + total) / (1 + frequency)) + 0.1
     numbered = [Item(i, *(np.array([terms[w] for w in part], np.int64) for part in (said, answer))) for i, said, answer in usable]
-    cuts = [(k, a, b) for k, item in enumerate(numbered) for a, b in _parts(len(item.words))]
+    cuts = [
+        (k, a, b) for k, item in enumerate(numbered) if len(item.words) >= LEAST_WORDS for a, b in _parts(len(item.words))
+    ]
     spaces = [_space(docs.sparkSession, numbered, group, weight) for group in _alike(numbered, cuts, weight)]
-    return Index(terms, np.append(weight, np.log(1 + total) + 0.1), numbered, spaces)
+    return Index(terms, np.append(weight, np.log(1 + total) + 0.1), numbered, spaces, _short(numbered))
+
+
+def _run_keys(ids: np.ndarray, n: int) -> np.ndarray:
+    """A number for each run of ``n`` terms."""
+    key = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+    for k in range(n):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + ids[k : k + len(key)].astype(np.uint64)
+    return key
+
+
+def _short(items: list[Item]) -> dict[int, tuple[np.ndarray, dict[int, list[Item]]]]:
+    found: dict[int, dict[int, list[Item]]] = defaultdict(lambda: defaultdict(list))
+    for item in items:
+        if len(item.words) < LEAST_WORDS:
+            found[len(item.words)][int(_run_keys(item.words, len(item.words))[0])].append(item)
+    return {n: (np.array(sorted(by_key), np.uint64), dict(by_key)) for n, by_key in found.items()}
+
+
+def _whole_runs(index: Index, numbers: list[np.ndarray]) -> Iterator[tuple[int, dict]]:
+    """Texts that hold a short item word for word, with the place of its first run."""
+    flat = np.concatenate([np.empty(0, np.int64), *numbers])
+    stops = np.cumsum([len(ids) for ids in numbers])
+    for n, (keys, items) in sorted(index.short.items()):
+        run = _run_keys(flat, n)
+        at = np.flatnonzero(np.isin(run, keys))
+        text = np.searchsorted(stops, at, side="right")
+        at = at[at + n <= stops[text]]  # a run ends in the text that it starts in
+        seen = set()
+        for place, key in zip(at.tolist(), run[at].tolist()):
+            owner = int(np.searchsorted(stops, place, side="right"))
+            if (owner, key) in seen:
+                continue
+            same = [item for item in items[key] if np.array_equal(item.words, flat[place : place + n])]
+            if same:
+                seen.add((owner, key))
+            for item in same:
+                first = place - int(stops[owner]) + len(numbers[owner])
+                yield owner, {"item_id": item.item_id, "cosine": 1.0, "lcs": 1.0, "answer": 1.0, "first_word": first, "words": n}
 
 
 def _needed(item: Item, start: int, stop: int, weight: np.ndarray) -> float:
@@ -269,6 +319,8 @@ def search(index: Index, texts: list[str | None]) -> list[list[dict]]:
         said = _verify(index, index.items[owner], numbers[text], sorted(near, reverse=True), present)
         if said:
             found[text].append(said)
+    for text, said in _whole_runs(index, numbers):
+        found[text].append(said)
     return found
 
 
@@ -370,8 +422,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``benchmark(item_id, text)`` may have an ``answer``; else an item's answer is its last sentence. An
     item is found where the weighted longest common subsequence with a region of the document has
-    ``COPY`` of its weight, or ``PARAPHRASE`` of it and ``ANSWER`` of the answer's. Items with a null
-    id or text or under ``LEAST_WORDS`` words are not searched; null and empty documents hold nothing.
+    ``COPY`` of its weight, or ``PARAPHRASE`` of it and ``ANSWER`` of the answer's; an item under
+    ``LEAST_WORDS`` words where the document has all its words in a row. Items with a null id, or
+    without a word, are not searched; null and empty documents hold nothing.
     Equal items are each found; repeated documents give repeated rows, a null ``doc_id`` a row with
     null. Other columns are not read; empty tables give an empty result.
 

@@ -129,3 +129,71 @@ def test_paraphrases_with_rare_words_replaced_are_candidates(spark, docs_of):
     rare, plain = index.weight[index.terms[b"rarex"]], index.weight[index.terms[b"caa"]]
     assert 7 < rare / plain < 12
     assert [r.item_id for r in found if r.doc_id == 1] == [7]
+
+
+def test_short_items_and_scripts_without_spaces(spark, docs_of):
+    items = [
+        (1, "東京都の人口は約千四百万人で、日本の都道府県の中で最も多い。首都はどこですか。東京です。"),
+        (2, "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานคร"),
+        (3, "Quizzical zebras jump"),
+        (4, "seven whole words make another longer item"),
+        (5, "xylophone"),
+        (6, "中国的首都是北京"),
+        (7, "don’t “panic”"),
+        (8, "—…"),
+        (9, "Quizzical, zebras: JUMP!"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    fill = prose(70)
+    docs = [
+        (10, f"{fill}。{items[0][1]}{fill}"),
+        (20, f"คำนำ {items[1][1]}ครับ {fill}"),
+        (30, f"{fill} quizzical zebras — jump {fill}"),
+        (31, f"{fill} quizzical zebras jumped {fill}"),
+        (32, f"{fill} zebras jump quizzical"),
+        (40, f"{fill} {items[3][1]} {fill}"),
+        (50, "xylophone"),
+        (51, "xylophones"),
+        (60, f"我知道{items[5][1]}。{fill}"),
+        (61, f"中国的首都，{fill}"),
+        (70, "Don't “don’t panic”, they said"),
+        (80, "quizzical"),
+        (81, "zebras jump"),
+        (90, "— …"),
+    ]
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of(docs), benchmark).collect()}
+    assert found == {(10, 1), (20, 2), (30, 3), (30, 9), (40, 4), (50, 5), (60, 6), (70, 7)}
+
+
+def test_words_of_all_scripts():
+    assert decontam.words("Naïve Café—über’s 3½ x_y") == [w.encode() for w in ("naïve", "café", "über", "s", "3½", "x", "y")]
+    assert decontam.words("日本語 text，ＡＢ") == [w.encode() for w in ("日", "本", "語", "text", "ａｂ")]
+    assert decontam.words("हिन्दी भाषा") == [w.encode() for w in ("हिन्दी", "भाषा")]
+    assert decontam.words(None) == decontam.words(" \n—") == []
+
+
+def test_candidates_hold_all_that_a_brute_force_subsequence_finds(spark, sf_dir):
+    """Every item against every region of every text, without a candidate search."""
+    draw = random.Random(9)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").collect()][:12]
+    docs = []
+    for k, (_, text) in enumerate(items):
+        said = text.split()
+        for share in (0.05, 0.1, 0.15, 0.25):
+            changed = [draw.choice(VOCABULARY) if draw.random() < share else w for w in said]
+            docs.append((len(docs), f"{prose(draw.randint(0, 90), draw)} {' '.join(changed)} {prose(draw.randint(0, 90), draw)}"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    index = decontam.build_index(frame, decontam._blocks(benchmark)[0])
+    other, expected = len(index.terms), set()
+    for doc_id, text in docs:
+        ids = np.array([index.terms.get(w, other) for w in decontam.words(text)])
+        for item in index.items:
+            n = len(item.words)
+            for low in range(0, max(1, len(ids) - n + 1), max(1, n // 8)):
+                region = ids[low : low + n + n // 8]
+                share = decontam.common_share(item.words, region, index.weight)
+                if share >= decontam.COPY or share >= decontam.PARAPHRASE and decontam.common_share(item.answer, region, index.weight) >= decontam.ANSWER:
+                    expected.add((doc_id, item.item_id))
+    found = {(k, leak["item_id"]) for k, leaks in enumerate(decontam.search(index, [t for _, t in docs])) for leak in leaks}
+    assert len(expected) > 25 and len(expected & found) >= 0.9 * len(expected)
