@@ -263,11 +263,11 @@ def _sample(docs: DataFrame, learnable: Column) -> DataFrame | None:
     rates = {r.lang: min(1.0, TRAIN_ROWS / r.n, TRAIN_CHARACTERS / max(1, r.size)) for r in sizes.collect()}
     if not rates:
         return None
-    rate = F.lit(1.0)
-    for language, share in sorted(rates.items()):
-        rate = F.when(F.col("lang") == language, F.lit(share)).otherwise(rate)
+    # one row per language, which the driver holds anyway
+    shares = docs.sparkSession.createDataFrame(sorted(rates.items()), "lang string, rate double")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    return usable.where(place < rate).select("doc_id", "lang", F.col("text").cast("string"))
+    drawn = usable.select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string")).join(F.broadcast(shares), "lang")
+    return drawn.where(place < F.col("rate")).select("doc_id", "lang", "text")
 
 
 def _ngrams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -83,6 +84,8 @@ class _WordTable:
         self.used += len(flat)
 
 
+#: Words of more bytes are hashed one by one, because sums of weighted letters can be equal for long ones.
+_SHORT = 64
 #: Bytes of text whose words are looked up together.
 _TEXT_AT_ONCE = 1 << 20
 _random = np.random.default_rng(97)
@@ -106,6 +109,8 @@ def _hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes = (hashes ^ (hashes >> np.uint64(32))) * _MIX
     hashes ^= hashes >> np.uint64(29)
     hashes *= _MIX
+    for k in np.flatnonzero(stops - starts > _SHORT):
+        hashes[k] = xxhash.xxh3_64_intdigest(data[starts[k] : stops[k]], 97)
     return starts, stops, np.maximum(hashes, np.uint64(1))
 
 

@@ -53,15 +53,39 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     return rows.select("file", offset.alias("offset"), "record_id", "record")
 
 
+#: How a compressed member begins, and bytes of one that are inflated at once.
+_MEMBER, _PIECE = b"\x1f\x8b\x08", 1 << 16
+
+
+def _inflated(content: bytes, at: int) -> tuple[bytes, int]:
+    """The record of a compressed member and where the member ends.
+
+    A member that is damaged or cut off gives its bytes as they are, up to the next beginning of one: a
+    record whose digest differs from that of every sound copy.
+    """
+    inflate, parts, end = zlib.decompressobj(wbits=31), [], at
+    try:
+        while not inflate.eof and end < len(content):
+            parts.append(inflate.decompress(content[end : end + _PIECE]))
+            end += _PIECE
+    except zlib.error:
+        pass
+    else:
+        if inflate.eof:
+            return b"".join(parts), min(end, len(content)) - len(inflate.unused_data)
+    end = content.find(_MEMBER, at + len(_MEMBER))
+    end = len(content) if end < 0 else end
+    return content[at:end], end
+
+
 def split_records(content: bytes) -> Iterator[tuple[int, bytes]]:
     """Offset and bytes of each record of a WARC file; of compressed ones the offset of the member."""
     at = 0
     while at < len(content):
         if content[at : at + 2] == b"\x1f\x8b":
-            inflate = zlib.decompressobj(wbits=31)
-            record = inflate.decompress(content[at:]) + inflate.flush()
+            record, end = _inflated(content, at)
             yield at, record
-            at = len(content) - len(inflate.unused_data)
+            at = end
             continue
         head = content.find(b"\r\n\r\n", at)
         length = _LENGTH.search(content, at, head + 2) if head >= 0 else None

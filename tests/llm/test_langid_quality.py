@@ -283,3 +283,17 @@ def test_every_language_keeps_all_its_ngrams(docs_of, monkeypatch):
     model = langid.learn(docs_of(many + few), F.lit(True))
     kept = [np.count_nonzero(model.share[langid.ORDER - 1][:, j]) for j in range(2)]
     assert kept[0] > 300 and kept[1] > 30
+
+
+def test_hundreds_of_languages_are_learned(docs_of):
+    """A rate per language is a row of a table, not a branch of an expression."""
+    draw = random.Random(5)
+    rows = []
+    for k in range(400):
+        words = ["".join(draw.choices("abcdefghijklmnop", k=5)) for _ in range(3)]
+        rows += [(3 * k + c, " ".join(draw.choices(words, k=8)), f"l{k}") for c in range(3)]
+    docs = docs_of(rows)
+    sample = langid._sample(docs, langid.learnable(F.col("doc_id")))
+    assert sample.columns == ["doc_id", "lang", "text"]
+    learnable = docs.where(langid.learnable(F.col("doc_id")))
+    assert sorted(map(tuple, sample.collect())) == sorted((r.doc_id, r.lang, r.text) for r in learnable.collect())

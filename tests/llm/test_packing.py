@@ -102,3 +102,17 @@ def test_whole_table(spark, sf_dir, plain):
     documents = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     filled = [sum(n for _, n in parts) for parts in check(rows, documents, plain).values()]
     assert sum(filled) > 0.97 * packing.WINDOW * len(filled)
+
+
+def test_long_words_that_weighted_sums_confuse(plain):
+    thue = "".join("ab"[bin(k).count("1") % 2] for k in range(2048))
+    other = "".join("ba"[bin(k).count("1") % 2] for k in range(2048))
+    far = "x" * 5000
+    swapped = [far[:7] + "q" + far[8:4103] + "z" + far[4104:], far[:7] + "z" + far[8:4103] + "q" + far[4104:]]
+    words = [thue, other, thue[:1024], other[:1024], *swapped, "a" * 64, "a" * 65, "b" * 65, "日" * 50, "日" * 49 + "本"]
+    hashes = packing._hashed_words(" ".join(words).encode())[2]
+    assert len(set(hashes.tolist())) == len(words)
+    texts = [f"one {w} two {w}" for w in words] + [" ".join(words)]
+    encode = packing.word_encoder(PATH)
+    for ids, text in zip(encode(texts), texts):
+        assert np.array_equal(ids, plain(text))

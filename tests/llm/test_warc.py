@@ -102,3 +102,38 @@ def test_files_are_read_plain_and_compressed(spark, tmp_path):
     assert hashlib.sha256(found["plain.warc"][2]).hexdigest() == warc.leaves(
         spark.createDataFrame([("a", "f", 0, bytearray(records[2]))], "replica string, file string, offset long, record binary")
     ).first().digest
+
+
+def test_damaged_members_are_reported_and_the_rest_is_read(spark, tmp_path):
+    members = [gzip.compress(record(k, 70_000), mtime=0) for k in range(5)]
+    whole = b"".join(members)
+    starts = [sum(map(len, members[:k])) for k in range(5)]
+    assert [(at, r) for at, r in warc.split_records(whole)] == [(s, record(k, 70_000)) for k, s in enumerate(starts)]
+    for flipped in (starts[2] + 30, starts[2] + len(members[2]) // 2, starts[2] + len(members[2]) - 5):
+        broken = bytearray(whole)
+        broken[flipped] ^= 0xFF
+        found = dict(warc.split_records(bytes(broken)))
+        assert {at: r for at, r in found.items() if at in starts and at != starts[2]} == {
+            s: record(k, 70_000) for k, s in enumerate(starts) if k != 2
+        }
+        assert found[starts[2]] != record(2, 70_000)
+    cut = dict(warc.split_records(whole[:-9]))
+    assert list(cut) == starts and cut[starts[4]] == members[4][:-9]
+
+    rows = []
+    for replica in REPLICAS:
+        folder = tmp_path / replica
+        folder.mkdir()
+        (folder / "p.warc.gz").write_bytes(bytes(broken) if replica == "b" else whole)
+        rows.append(warc.read_warc(spark, str(folder)).withColumn("replica", F.lit(replica)))
+    audited = warc.audit(warc.leaves(rows[0].unionByName(rows[1]).unionByName(rows[2])), REPLICAS).collect()
+    assert {(r.replica, r.offset) for r in audited} == {("b", starts[2])}
+
+
+def test_many_members_take_linear_time():
+    import time
+
+    whole = gzip.compress(record(1, 50), mtime=0) * 60_000
+    began = time.process_time()
+    assert sum(1 for _ in warc.split_records(whole)) == 60_000
+    assert time.process_time() - began < 30
