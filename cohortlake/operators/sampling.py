@@ -61,26 +61,37 @@ def key_percentile(key: Column) -> Column:
     return F.conv(digest, 16, 10).cast("bigint") % 100
 
 
-def split_key(df: DataFrame, key: str) -> Column:
-    """The text that decides a row's part: its key, or the whole row's text where that is missing.
+def split_key(df: DataFrame, key: str, fallback: Sequence[str] | None = None) -> Column:
+    """The text that decides a row's part: its key, or the text of ``fallback`` where that is missing.
 
-    A NULL or empty key names no row, so all such rows would otherwise fall into one part.
+    A NULL or empty key names no row, so all such rows would otherwise fall into one part. By default
+    ``fallback`` is the whole row, and a scan then reads every column; name some where the table is
+    wide, or none where the key is never missing.
     """
-    whole = F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns))
+    names = df.columns if fallback is None else fallback
     text = F.col(key).cast("string")
+    if not names:
+        return F.coalesce(text, F.lit(""))
+    whole = F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in names))
     return F.when(F.coalesce(text, F.lit("")) == "", whole).otherwise(text)
 
 
 def with_split(
-    df: DataFrame, key: str = "event_seq", pct: int = 80, name: str = "is_train"
+    df: DataFrame,
+    key: str = "event_seq",
+    pct: int = 80,
+    name: str = "is_train",
+    fallback: Sequence[str] | None = None,
 ) -> DataFrame:
     """Mark ``pct`` percent of the keys as training rows. No shuffle and no random state."""
-    return df.withColumn(name, key_percentile(split_key(df, key)) < pct)
+    return df.withColumn(name, key_percentile(split_key(df, key, fallback)) < pct)
 
 
-def split(df: DataFrame, key: str = "event_seq", pct: int = 80) -> tuple[DataFrame, DataFrame]:
+def split(
+    df: DataFrame, key: str = "event_seq", pct: int = 80, fallback: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The training rows and the others; every row is in one of them."""
-    chosen = key_percentile(split_key(df, key)) < pct
+    chosen = key_percentile(split_key(df, key, fallback)) < pct
     return df.filter(chosen), df.filter(~chosen)
 
 

@@ -375,6 +375,10 @@ ORACLES: dict[str, str] = {
     )
     + f"SELECT {_PERSISTED} FROM enriched",
     "stream_resume": _with(STUDENTS) + _stream_counts(),
+    # After each run the counts of all runs so far.
+    "stream_counts": _with(STUDENTS, f"runs AS ({_stream_counts()})")
+    + "SELECT run, (sum(received) OVER (ORDER BY run))::bigint AS received, "
+    "(sum(kept) OVER (ORDER BY run))::bigint AS kept, 0::bigint AS missing FROM runs",
     # Messages without an id cannot be told apart, so those that were sent again are there twice.
     "stream_once": _with(
         STUDENTS,
@@ -396,4 +400,5 @@ ORACLES: dict[str, str] = {
 }
 # The same tables, reached on another way.
 ORACLES["stream_histogram"] = ORACLES["latency_histogram"]
+ORACLES["compacted_ingest"] = ORACLES["stream_ingest"]
 ORACLES["stream_latest"] = ORACLES["latest_per_key"]

@@ -15,7 +15,8 @@ from cohortlake.operators import gates, latency, metrics, models, records, repla
 from cohortlake.plans import cases
 from cohortlake.plans.context import context
 from cohortlake.session import fresh_path, scan_partitions
-from cohortlake.sources import batches, delimited, messages, results
+from cohortlake.sources import batches, compaction, delimited, messages, results
+from cohortlake.streaming import counts as streaming_counts
 from cohortlake.streaming import histogram as streaming_histogram
 from cohortlake.streaming import ingest as streaming
 from cohortlake.streaming import reports as streaming_reports
@@ -296,13 +297,13 @@ def invalid_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.with_split(students(spark, sf_dir)).select("event_seq", "is_train")
+    return sampling.with_split(students(spark, sf_dir), fallback=()).select("event_seq", "is_train")
 
 
 @query
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.when(F.col("is_train"), "train").otherwise("test").alias("part")
-    return sampling.count_rows(sampling.with_split(students(spark, sf_dir)), [part])
+    return sampling.count_rows(sampling.with_split(students(spark, sf_dir), fallback=()), [part])
 
 
 @query
@@ -321,7 +322,7 @@ def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = sampling.split(records.known_labels(_enriched(spark, sf_dir)))
+    train, _ = sampling.split(records.known_labels(_enriched(spark, sf_dir)), fallback=())
     return sampling.class_weights(train)
 
 
@@ -532,6 +533,40 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumn("stored", F.lit(stored).cast("bigint"))
 
 
+@query
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts stored with the checkpoint after each of two runs, and after one that brings nothing."""
+    inbox, out, mark = (fresh_path(spark, n) for n in ("inbox", "ingested", "ingest-checkpoint"))
+    sent = cases.spoiled_messages(_whole(spark, sf_dir))
+    odd = F.col("key").cast("bigint") % 2 == 1
+    runs = []
+
+    def start():
+        return streaming.stream_ingest(messages.read_messages(spark, "parquet", inbox), out, mark)
+
+    for number, arrived in enumerate([sent.filter(~odd), sent.filter(odd), None], start=1):
+        if arrived is not None:
+            arrived.write.mode("append").parquet(inbox)
+        found = streaming_counts.drain_counted(spark, start, mark)
+        runs.append((number, found.total.received, found.total.kept, len(found.missing)))
+    return spark.createDataFrame(runs, "run int, received bigint, kept bigint, missing bigint")
+
+
+@query
+def compacted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an ingest of two arrivals stored, merged after the first one and again after the second."""
+    inbox, out, mark = (fresh_path(spark, n) for n in ("inbox", "ingested", "ingest-checkpoint"))
+    sent = cases.spoiled_messages(_whole(spark, sf_dir))
+    odd = F.col("key").cast("bigint") % 2 == 1
+    for arrived in (sent.filter(~odd), sent.filter(odd)):
+        arrived.write.mode("append").parquet(inbox)
+        stream = messages.read_messages(spark, "parquet", inbox)
+        streaming.drain(streaming.stream_ingest(stream, out, mark, rows_per_file=schema.BATCH_ROWS))
+        compaction.compact(spark, out)
+    compaction.sweep(spark, out)
+    return batches.scan_parquet(spark, out)
+
+
 @query
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of rejected messages and the number of kept ones, from one decoding of each batch."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake import schema
+from cohortlake.sources import compaction
 
 
 class EmptyOutputError(RuntimeError):
@@ -33,17 +34,19 @@ def write_batches(
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     """All files of a directory as one table; a missing directory is a ``FileNotFoundError``.
 
-    An unsigned time stamp column, which Spark reads as a decimal, becomes a bigint.
+    An unsigned time stamp column, which Spark reads as a decimal, becomes a bigint. Of files that
+    ``compaction`` has merged the merged ones are read.
     """
+    return compaction.union(_scans(spark, path))
+
+
+def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
     try:
-        table = spark.read.parquet(path)
+        return compaction.scans(spark, path) or [compaction.signed_times(spark.read.parquet(path))]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Parquet directory not found: {path}") from error
         raise
-    if dict(table.dtypes).get("event_ts_ms", "bigint") != "bigint":
-        table = table.withColumn("event_ts_ms", F.col("event_ts_ms").cast("bigint"))
-    return table
 
 
 def assert_nonempty(spark: SparkSession, path: str) -> None:
@@ -62,5 +65,5 @@ def assert_nonempty(spark: SparkSession, path: str) -> None:
 
 def rows_per_file(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
     """Rows of each file of a table; only the file names are read unless columns are given."""
-    named = scan_parquet(spark, path).select("_metadata.file_name", *columns)
+    named = compaction.union([scan.select("_metadata.file_name", *columns) for scan in _scans(spark, path)])
     return named.groupBy("file_name").agg(F.count("*").alias("rows"))

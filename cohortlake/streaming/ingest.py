@@ -181,6 +181,21 @@ class IngestCounters:
     def stored(self) -> int:
         return self.kept - self.repeated - self.late
 
+    @property
+    def parts(self) -> tuple[int, int, int, int]:
+        return self.received, self.kept, self.repeated, self.late
+
+
+def batch_counts(progress) -> tuple[int, int, int, int] | None:
+    """Received, kept, repeated and late messages of a batch's progress; none if it had no messages."""
+    observed = progress["observedMetrics"].get(OBSERVED)
+    if observed is None or progress["numInputRows"] == 0:
+        return None
+    states = progress["stateOperators"]
+    repeated = sum(s["customMetrics"].get("numDroppedDuplicateRows", 0) for s in states)
+    late = sum(s["numRowsDroppedByWatermark"] for s in states)
+    return observed["received"], observed["kept"], repeated, late
+
 
 class _Progress:
     """Adds up a query's batches; polled more often than the query forgets its progress."""
@@ -196,15 +211,10 @@ class _Progress:
         """Take in new batches; whether any of them brought messages."""
         news = False
         for progress in query.recentProgress:
-            observed = progress["observedMetrics"].get(OBSERVED)
-            if observed is None or progress["numInputRows"] == 0:
-                continue
-            if progress["batchId"] not in self._seen:
+            counts = batch_counts(progress)
+            if counts is not None and progress["batchId"] not in self._seen:
                 news = True
-                states = progress["stateOperators"]
-                repeated = sum(s["customMetrics"].get("numDroppedDuplicateRows", 0) for s in states)
-                late = sum(s["numRowsDroppedByWatermark"] for s in states)
-                self._seen[progress["batchId"]] = (observed["received"], observed["kept"], repeated, late)
+                self._seen[progress["batchId"]] = counts
         return news
 
     def counters(self) -> IngestCounters:
