@@ -76,7 +76,9 @@ def _block_rows(ids: DataFrame) -> DataFrame:
         for i, m in enumerate(block_masks())
     ))
     keyed = ids.select("fp", "id", F.inline(masks))
-    counted = keyed.selectExpr("*", "count(*) over (partition by t, block) as n").where("n > 1")
+    # The written counts are broadcast while they are small; beyond that AQE splits a full value's rows.
+    shared = materialize(keyed.groupBy("t", "block").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
+    counted = keyed.join(shared, ["t", "block"])
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
     pairs = F.transform(
@@ -152,7 +154,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     compared inside tasks, which emit a spanning forest and not the pairs.
     """
     marked = materialize(fingerprints(docs), "fingerprints")
-    ids = marked.groupBy("fp").agg(F.min("doc_id").alias("id")).where("id is not null")
+    ids = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("id")).where("id is not null"), "distinct")
     found = connected_components(links(ids))
     named = ids.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     return marked.join(named, "fp", "left").select("doc_id", "fp", "component_id")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlake.llm import embeddings
+from cohortlake.llm import components, embeddings
 from cohortlake.llm.components import connected_components
 
 
@@ -89,7 +89,9 @@ def test_blocks_cannot_lose_a_pair():
         assert [a for a, _ in embeddings.block_bounds(size)][1:] == [b for _, b in embeddings.block_bounds(size)][:-1]
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("heavy", [1, 3, components.HEAVY_LINKS])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, heavy):
+    monkeypatch.setattr(components, "HEAVY_LINKS", heavy)  # nodes of more links are joined without a shuffle
     edges = [(k, k + 1) for k in range(1, 200)] + [(1000, k) for k in range(1001, 1200)] + [(5000, 5000), (7, None)]
     edges += [(3000, 2000), (2500, 3000), (2500, 2400), (2400, 3000)]
     frame = spark.createDataFrame(edges, "a long, b long")
@@ -98,6 +100,20 @@ def test_components_of_chains_stars_and_loops(spark):
     assert connected_components(frame.limit(0)).count() == 0
 
 
+def test_links_of_a_heavy_node_are_not_shuffled_to_its_minimum(spark):
+    links = spark.createDataFrame([(k, 0) for k in range(1, 5001)] + [(k, 9000) for k in range(9001, 9011)], "u long, v long")
+    both = links.unionByName(links.selectExpr("v as u", "u as v"))
+    minima = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = components._with_minima(both, minima, components.HEAVY_LINKS)
+        heavy = joined.where("u = 0").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in heavy) == 5000 and max(r["count"] for r in heavy) < 2500
+        assert joined.count() == both.count() and joined.where("m <> v and u > 9000").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_query_on_the_whole_table(spark, sf_dir):
     import __spark_entry__
 
