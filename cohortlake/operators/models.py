@@ -27,8 +27,10 @@ WEIGHT = "class_weight"
 
 #: Forests draw their samples by partition, so the number of partitions is part of the model. It follows
 #: from the number of labelled rows alone: no partition holds more than ``ROWS_AT_MOST`` of them in
-#: expectation, and up to ``SPREAD`` partitions are made as long as each has ``ROWS_AT_LEAST``.
-ROWS_AT_MOST, ROWS_AT_LEAST, SPREAD = 1 << 20, 1 << 14, 10_000
+#: expectation, and up to ``SPREAD`` partitions are made as long as each has ``ROWS_AT_LEAST``. A fit has
+#: hundreds of passes, and in each every partition reports to the driver and a forest's sends the
+#: statistics of all open nodes, so tasks are made by rows that are worth one and not by the dozen.
+ROWS_AT_MOST, ROWS_AT_LEAST, SPREAD = 1 << 20, 1 << 16, 48
 
 
 def training_partitions(rows: int) -> int:

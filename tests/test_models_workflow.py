@@ -134,3 +134,10 @@ def test_same_forest_and_partitions_from_one_and_from_64_splits(spark, sf_dir, m
     few = models.prepare_training(rows.filter("event_seq < 90"))
     assert few.train.rdd.getNumPartitions() == 1
     few.close()
+
+
+def test_tasks_of_a_fit_grow_with_rows_worth_one():
+    # 54 million rows: a hundred gradient steps report from each partition, a forest's levels send node statistics.
+    parts = [models.training_partitions(n) for n in (900_000, 9_000_000, 54_000_000)]
+    assert parts[0] < parts[1] <= parts[2] <= 64
+    assert all(n / p >= models.ROWS_AT_LEAST * 0.9 for n, p in zip((900_000, 9_000_000, 54_000_000), parts))
