@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlake.fixtures import students
 from cohortlake.operators import models, records
-from cohortlake.session import fresh_path, scan_partitions
+from cohortlake.session import compiled_methods, fresh_path, scan_partitions
 from cohortlake.sources import batches
 
 _contexts: dict[tuple[str, str], "StudyContext"] = {}
@@ -17,13 +17,16 @@ class StudyContext:
     """Labelled records of one data set with the models asked for so far.
 
     Training reads a written table of enriched records, as it does behind an ingest: the many
-    passes of the fits then read finished columns.
+    passes of the fits then read finished columns. The two columns that a record is derived from are
+    dealt by the number of rows, because a large file may come in few splits.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
+        compiled_methods(spark)
         path = fresh_path(spark, "training-records")
-        enriched = records.enrich(students(spark, sf_dir, partitions=scan_partitions(spark)))
+        dealt = scan_partitions(spark) or models.training_partitions(students(spark, sf_dir).count())
+        enriched = records.enrich(students(spark, sf_dir, partitions=dealt))
         batches.write_batches(records.project_record(enriched, ["event_seq"]), path)
         self.labelled = records.known_labels(batches.scan_parquet(spark, path))
         self._training: models.TrainingSet | None = None

@@ -75,6 +75,21 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+#: Bytes of a method beyond which the JVM only interprets it (HotSpot's ``HugeMethodLimit``).
+INTERPRETED_BYTES = 8000
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Plans of this session fall back to split methods where one would be too long to be compiled.
+
+    A record has some forty derived columns; generated as one method they run interpreted, at a
+    fraction of the speed. A lower limit that the session sets already stays.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > INTERPRETED_BYTES:
+        spark.conf.set(name, str(INTERPRETED_BYTES))
+
+
 SCAN_PARTITIONS = "spark.cohortlake.scanPartitions"
 
 

@@ -141,3 +141,9 @@ def test_tasks_of_a_fit_grow_with_rows_worth_one():
     parts = [models.training_partitions(n) for n in (900_000, 9_000_000, 54_000_000)]
     assert parts[0] < parts[1] <= parts[2] <= 64
     assert all(n / p >= models.ROWS_AT_LEAST * 0.9 for n, p in zip((900_000, 9_000_000, 54_000_000), parts))
+
+
+def test_record_plans_are_not_left_to_the_interpreter(spark, sf_dir):
+    study = context(spark, sf_dir)
+    assert study.labelled.count() > 0
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
