@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.llm.texts import Scorer, annotate, fold
+from cohortlake.session import materialize
 
 FOLDS, HELD_OUT = 3, 1
-#: Labelled rows that the ranking is learned from, in expectation (a hash of the id decides).
-TRAIN_ROWS = 20_000
-#: Preference pairs drawn from them.
-PAIRS = 60_000
 #: Pull of the weights to zero, per pair.
 RIDGE = 1e-3
-SEED = 7
+#: The change of the weights at which they are taken as found, and the steps at most.
+SETTLED, STEPS = 1e-3, 50
+#: Documents whose raw scores lie in the same of these parts of a unit meet others as one sum.
+PARTS, WIDEST = 8, 32
+#: Decimals that are kept, so that the order in which sums arrive does not show.
+DIGITS = 6
+#: Parts into which a range of scores is cut at a time to find a rank.
+CUTS = 4096
 
 _SENTENCE = b".,;:?'\"()-"
 _SHOUT = b"!"
@@ -75,37 +81,80 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(self.steepness * (self.raw(x) - self.threshold), -36, 36)))
 
 
+def _standard(x: np.ndarray, centre: np.ndarray, width: np.ndarray) -> np.ndarray:
+    return (x - centre) / width
+
+
+def _scale(centre, width) -> tuple[np.ndarray, np.ndarray]:
+    centre, width = np.round(np.array(centre, float), 12), np.round(np.array(width, float), 12)
+    width[width < 1e-9] = 1.0
+    return centre, width
+
+
+def sums(z: np.ndarray, good: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(kind, part)`` of the raw score, and per such pair the rows' number, sum and sum of products."""
+    part = np.floor(np.clip(z @ weights, -WIDEST, WIDEST) * PARTS).astype(np.int64)
+    keys, place = np.unique(np.stack([good.astype(np.int64), part], 1), axis=0, return_inverse=True)
+    place, (over, down) = place.ravel(), np.triu_indices(z.shape[1])
+    each = np.concatenate([np.ones((len(z), 1)), z, z[:, over] * z[:, down]], 1)
+    total = np.zeros((len(keys), each.shape[1]))
+    np.add.at(total, place, each)
+    return keys, total
+
+
+def step(keys: np.ndarray, total: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """One Newton step of the Bradley-Terry loss over all pairs of a good and another document.
+
+    Every pair counts. Its margin is that of the means of the parts that the two documents are in, which
+    are an eighth of a unit wide; what a pair adds to gradient and curvature is taken from the sums.
+    """
+    size = len(weights)
+    over, down = np.triu_indices(size)
+    kinds = []
+    for kind in (1, 0):
+        n, first, second = np.split(total[keys[:, 0] == kind], [1, 1 + size], 1)
+        square = np.zeros((len(n), size, size))
+        square[:, over, down] = square[:, down, over] = second / n
+        kinds.append((n[:, 0] / n.sum(), first / n, square))
+    (share, mean, square), (share_0, mean_0, square_0) = kinds
+    p = 1 / (1 + np.exp(-np.clip(np.subtract.outer(mean @ weights, mean_0 @ weights), -36, 36)))
+    pull, bend = (p - 1) * np.outer(share, share_0), p * (1 - p) * np.outer(share, share_0)
+    gradient = pull.sum(1) @ mean - pull.sum(0) @ mean_0 + RIDGE * weights
+    cross = mean.T @ bend @ mean_0
+    curve = np.tensordot(bend.sum(1), square, 1) + np.tensordot(bend.sum(0), square_0, 1) - cross - cross.T
+    return np.linalg.solve(curve + RIDGE * np.eye(size), gradient)
+
+
+def _solve(sums_at: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray:
+    weights = np.zeros(size)
+    for _ in range(STEPS):
+        change = step(*sums_at(weights), weights)
+        weights = weights - change
+        if np.abs(change).max() < SETTLED:
+            break
+    return np.round(weights, DIGITS)
+
+
 def fit(x: np.ndarray, good: np.ndarray) -> Ranking | None:
-    """Bradley-Terry weights: logistic loss on feature differences of preferred and other documents.
+    """Bradley-Terry weights: logistic loss on feature differences of all pairs of a good and another row.
 
     The threshold is the score's quantile at the share of the other documents. None without both kinds.
+    ``learn`` does the same with rows that stay in their tasks.
     """
-    better, worse = np.flatnonzero(good), np.flatnonzero(~good)
-    if not len(better) or not len(worse):
+    if good.all() or not good.any():
         return None
-    centre, width = x.mean(axis=0), x.std(axis=0)
-    width[width < 1e-9] = 1.0
-    z = (x - centre) / width
-    draw = np.random.default_rng(SEED)
-    difference = z[draw.choice(better, PAIRS)] - z[draw.choice(worse, PAIRS)]
-    weights = np.zeros(z.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(difference @ weights, -36, 36)))
-        gradient = difference.T @ (p - 1) / PAIRS + RIDGE * weights
-        curve = (difference * (p * (1 - p))[:, None]).T @ difference / PAIRS + RIDGE * np.eye(len(weights))
-        step = np.linalg.solve(curve, gradient)
-        weights -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    raw = z @ weights
-    threshold = _threshold(raw, len(worse) / len(good))
-    return Ranking(centre, width, weights, threshold, 1.0)
+    centre, width = _scale(x.mean(axis=0), x.std(axis=0))
+    z = _standard(x, centre, width)
+    weights = _solve(lambda w: sums(z, good, w), z.shape[1])
+    raw = np.sort(z @ weights)
+    below, above = (raw[rank] for rank in _ranks(len(raw), int((~good).sum())))
+    return Ranking(centre, width, weights, round(float(below + above) / 2, DIGITS), 1.0)
 
 
-def _threshold(raw: np.ndarray, share: float) -> float:
-    """Midway between the scores on both sides of the quantile ``share``, one row in a hundred away."""
-    below, above = np.quantile(raw, [max(0.0, share - 0.01), min(1.0, share + 0.01)])
-    return float((below + above) / 2)
+def _ranks(rows: int, others: int) -> tuple[int, int]:
+    """Places, from 0, on both sides of the quantile at the share of the others, one row in a hundred away."""
+    share = others / rows
+    return tuple(round(min(1.0, max(0.0, at)) * (rows - 1)) for at in (share - 0.01, share + 0.01))
 
 
 def _scorer(ranking: Ranking | None) -> Scorer:
@@ -118,28 +167,71 @@ def _scorer(ranking: Ranking | None) -> Scorer:
     return score
 
 
+def _sums(rows: DataFrame, centre: np.ndarray, width: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``sums`` of all ``rows(quality, x)``: added up in each task, then by kind and part."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+            keys, total = sums(_standard(x, centre, width), part.column(0).to_numpy() == 1, weights)
+            columns = [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(total.tolist(), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "part", "sums"])
+
+    size = 1 + len(weights) + len(weights) * (len(weights) + 1) // 2
+    partial = rows.select("quality", "x").mapInArrow(batches, "kind long, part long, sums array<double>")
+    added = partial.groupBy("kind", "part").agg(F.array(*(F.sum(F.col("sums")[k]) for k in range(size))).alias("sums"))
+    found = added.collect()  # at most 2 * (2 * WIDEST * PARTS + 1) rows
+    return np.array([(r.kind, r.part) for r in found]), np.array([r.sums for r in found])
+
+
+def value_at(scores: DataFrame, rank: int, low: float, high: float) -> float:
+    """The value of that rank, from 0, in the column ``raw``, whose values lie from ``low`` to ``high``.
+
+    The range that holds it is cut and counted until a cut is narrower than what ``DIGITS`` keep.
+    """
+    while high - low > 10.0 ** -(DIGITS + 2):
+        wide = (high - low) / CUTS
+        inside = scores.where((F.col("raw") >= low) & (F.col("raw") <= high))
+        cut = F.least(F.floor((F.col("raw") - low) / wide), F.lit(CUTS - 1)).alias("cut")
+        for found in sorted(inside.groupBy(cut).agg(F.count("*"), F.min("raw"), F.max("raw")).collect()):
+            if rank < found[1]:
+                low, high = found[2], found[3]
+                break
+            rank -= found[1]
+    return (low + high) / 2
+
+
 def learn(docs: DataFrame, labels: DataFrame, learnable: Column) -> Ranking | None:
-    """A ranking from the labelled rows of ``docs(doc_id, text)`` that may be learned from.
+    """A ranking from all labelled rows of ``docs(doc_id, text)`` that may be learned from.
 
-    About ``TRAIN_ROWS`` labels are drawn, so the side that is broadcast is bounded; only their
-    features come to the driver. Labels other than 0 and 1 and null ids are left out.
+    Features are written to the shared folder and stay there: the driver gets sums by part of the score,
+    a number of rows that does not grow with the tables, and counts of score ranges for the threshold.
+    Labels other than 0 and 1 and null ids are left out.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    usable = usable.where(learnable)
-    rate = min(1.0, TRAIN_ROWS / max(1, usable.count()))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    drawn = F.broadcast(usable.where(place < rate).distinct())
-    rows = docs.select("doc_id", "text").join(drawn, "doc_id")
 
     def measure(texts: list[str | None]) -> list[dict]:
         return [{"x": features(t).tolist()} for t in texts]
 
-    found = annotate(rows, ["doc_id", "quality"], "found", "x array<double>", lambda: measure)
-    sample = sorted((r.doc_id, r.quality, r.x) for r in found.select("doc_id", "quality", "found.x").collect())
-    if not sample:
+    measured = annotate(docs.select("doc_id", "text").where(learnable), ["doc_id"], "found", "x array<double>", lambda: measure)
+    joined = measured.join(usable.where(learnable).distinct(), "doc_id")
+    rows = materialize(joined.select(F.col("quality").cast("long").alias("quality"), F.col("found.x").alias("x")), "features")
+    value = [F.col("x")[k] for k in range(len(FEATURES))]
+    seen = rows.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("quality") == 0).alias("others"),
+        F.array(*map(F.avg, value)).alias("centre"),
+        F.array(*map(F.stddev_pop, value)).alias("width"),
+    ).first()
+    if seen.others in (0, seen.rows):
         return None
-    _, good, x = zip(*sample)
-    return fit(np.array(x), np.array(good) == 1)
+    centre, width = _scale(seen.centre, seen.width)
+    weights = _solve(lambda w: _sums(rows, centre, width, w), len(FEATURES))
+    raw = sum((v - float(c)) / float(s) * float(w) for v, c, s, w in zip(value, centre, width, weights))
+    scores = rows.select(raw.alias("raw"))
+    low, high = scores.agg(F.min("raw"), F.max("raw")).first()
+    below, above = (value_at(scores, rank, low, high) for rank in _ranks(seen.rows, seen.others))
+    return Ranking(centre, width, weights, round((below + above) / 2, DIGITS), 1.0)
 
 
 def rank(docs: DataFrame, labels: DataFrame, columns: list[str], learnable: Column) -> DataFrame:

@@ -188,6 +188,30 @@ def test_held_out_quality(spark, docs_of, odd_rows):
     assert sum(bool(r.predicted) == good for r, good in held) > 0.95 * len(held)
 
 
+def test_all_labelled_rows_and_all_pairs_are_learned_from(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 40, raising=False)  # once the rows of a sample
+    draw = random.Random(6)
+    words = WORDS["aa"]
+    rows = [(k, " ".join(draw.choice((w, w.upper(), w + "!")) if draw.random() < 0.1 + 0.02 * (k % 20) else w for w in draw.choices(words, k=40))) for k in range(400)]
+    labels = [(k, int(k % 20 + draw.randint(0, 12) < 16)) for k, _ in rows]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = quality.learn(docs_of(rows).repartition(3), frame, quality.learnable(F.col("doc_id")))
+    used = [(quality.features(t), g) for (k, t), (_, g) in zip(rows, labels) if zlib.crc32(str(k).encode()) % 3 != 1]
+    x, good = np.array([u[0] for u in used]), np.array([u[1] for u in used]) == 1
+    assert np.allclose(found.centre, x.mean(axis=0)) and found.raw(x).std() > 0.5
+    alone = quality.fit(x, good)
+    assert np.allclose(found.weights, alone.weights, atol=1e-4) and abs(found.threshold - alone.threshold) < 1e-3
+    # Newton's method on all pairs, one by one
+    z = (x - found.centre) / found.width
+    apart = (z[good][:, None, :] - z[~good][None, :, :]).reshape(-1, z.shape[1])
+    weights = np.zeros(z.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-(apart @ weights)))
+        curve = (apart * (p * (1 - p))[:, None]).T @ apart / len(apart) + quality.RIDGE * np.eye(len(weights))
+        weights -= np.linalg.solve(curve, apart.T @ (p - 1) / len(apart) + quality.RIDGE * weights)
+    assert np.abs(found.raw(x) - z @ weights).max() < 0.02 * (z @ weights).std()
+
+
 def test_no_labels_and_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, quality int")
     docs = docs_of([(1, "a"), (2, None)]).withColumn("quality", F.lit("clash"))
