@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.texts import ROWS_AT_ONCE
+from cohortlake.llm.texts import ROWS_AT_ONCE, release
 
 #: Words of a block; a passage of a document is two blocks, and starts at each of them.
 BLOCK = 32
@@ -111,6 +111,7 @@ def _frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.ndarray,
     """Documents that hold each term, and the number of documents; over whole texts of all rows."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held, known = np.zeros(len(terms) + 1, np.int64), terms.keys()
         for part in parts:
             for at in range(0, part.num_rows, ROWS_AT_ONCE):
@@ -406,6 +407,7 @@ def annotate_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _searcher(index: Index):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             for at in range(0, part.num_rows, ROWS_AT_ONCE):
                 rows = part.slice(at, ROWS_AT_ONCE)

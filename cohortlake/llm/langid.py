@@ -365,7 +365,7 @@ def identify(docs: DataFrame, columns: list[str], learnable: Column) -> DataFram
     """
     model = learn(docs, learnable)
     make = (lambda: scorer(model)) if model else (lambda: _nothing_learned)
-    return annotate(docs, columns, "language", FIELDS, make)
+    return annotate(docs, columns, "language", FIELDS, make, keeps=True)
 
 
 def held_out(doc_id: Column) -> Column:

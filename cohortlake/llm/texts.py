@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 #: Rows whose texts are Python objects at the same time.
 ROWS_AT_ONCE = 256
+#: Bytes of an Arrow batch after ``bounded_batches``; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 Scorer = Callable[[list[str | None]], list[dict]]
 
@@ -30,13 +32,32 @@ def per_worker(key: tuple, make: Callable):
     return _held[key]
 
 
+def release() -> None:
+    """Let go of what an earlier operator keeps in this Python worker, for tasks that keep nothing."""
+    if _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on this session sends rows to Python workers in batches of ``BATCH_BYTES``.
+
+    An executor holds a batch several times over for each task: as vectors, as the message that is sent,
+    and in the worker. Spark's own limits are 64 MB and 10,000 rows. A limit that the session sets stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def annotate(
-    docs: DataFrame, columns: list[str], name: str, fields: str, make: Callable[[], Scorer]
+    docs: DataFrame, columns: list[str], name: str, fields: str, make: Callable[[], Scorer], keeps: bool = False
 ) -> DataFrame:
     """The given ``columns`` of ``docs`` and a struct ``name`` with what a scorer says of each text.
 
     ``make`` builds the scorer once per task; it gets lists of whole texts (or nulls) and returns a
-    dict per text. No shuffle, and memory for ``ROWS_AT_ONCE`` texts beside the Arrow batch.
+    dict per text. ``keeps`` says that the scorer comes from ``per_worker``. No shuffle, and memory for
+    ``ROWS_AT_ONCE`` texts beside the Arrow batch.
     """
     found = StructType.fromDDL(fields)
     kind = to_arrow_type(found)
@@ -48,6 +69,8 @@ def annotate(
     names = schema.names
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release()
         scorer = make()
         for part in parts:
             for at in range(0, part.num_rows, ROWS_AT_ONCE):
