@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.texts import ROWS_AT_ONCE
+from cohortlake.llm.texts import ROWS_AT_ONCE, bounded_batches
 from cohortlake.session import materialize
 
 #: Occurrences of a phrase at least, and words of one at most.
@@ -26,6 +26,10 @@ CHUNK_WORDS = 1 << 21
 #: only what would fill half a bucket by itself is spread, because its phrases are then counted in parts.
 BUCKET_SUFFIXES = 1 << 21
 HOT = BUCKET_SUFFIXES // 2
+#: Bytes of routed suffixes in a row, so that the JVM holds and sends a bucket in small pieces.
+ROW_BYTES = 1 << 18
+#: Suffixes of a bucket in expectation that are sorted at the same time, and phrases sent back at once.
+SORTED_AT_ONCE, PHRASES_AT_ONCE = 1 << 18, 1 << 16
 #: What a language is called that is not given.
 UNKNOWN = "und"
 
@@ -135,7 +139,7 @@ def suffixes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     ``codes`` has -1 for what no phrase can hold; a suffix ends before it.
     """
-    padded = np.append(codes, [-1] * LONGEST)
+    padded = np.append(codes, np.full(LONGEST, -1, codes.dtype))
     at = np.flatnonzero((padded[:-1] >= 0) & (padded[1:] >= 0))
     columns = [padded[at], padded[at + 1]]
     for k in range(2, LONGEST):
@@ -160,6 +164,8 @@ def routes(found: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _route(kind: str, buckets: int):
+    at_once = max(1, ROW_BYTES // (LONGEST * np.dtype(kind).itemsize + 4))
+
     def route(chunks: pa.Table, words: pa.Table) -> pa.Table:
         out = {"bucket": [], "words": [], "counts": []}
         for row in chunks.select(["said", "known"]).to_pylist():
@@ -170,34 +176,55 @@ def _route(kind: str, buckets: int):
             order = np.argsort(bucket, kind="stable")
             found, counts, bucket = found[:, order], counts[order], bucket[order]
             first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-            for a, b in zip(first, [*first[1:], len(bucket)]):
-                out["bucket"].append(int(bucket[a]))
-                out["words"].append(found[:, a:b].astype(kind).tobytes())
-                out["counts"].append(counts[a:b].astype("<i4").tobytes())
+            for a, end in zip(first, [*first[1:], len(bucket)]):
+                for b in range(a, end, at_once):
+                    row = slice(b, min(b + at_once, end))
+                    out["bucket"].append(int(bucket[a]))
+                    out["words"].append(found[:, row].astype(kind).tobytes())
+                    out["counts"].append(counts[row].astype("<i4").tobytes())
         return pa.table(out, pa.schema([("bucket", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())]))
 
     return route
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, first) if len(first) else np.empty(0, np.int64)
+    return np.add.reduceat(values, first, dtype=np.int64) if len(first) else np.empty(0, np.int64)
 
 
 def _starts(part: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, np.int64)
 
 
-def sort_suffixes(words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def sort_suffixes(
+    words: np.ndarray, counts: np.ndarray, at_once: int = SORTED_AT_ONCE
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Phrases (columns of ``LONGEST`` words, -1 past the end) with their counts in one bucket.
 
+    Suffixes with the same first word are sorted together, about ``at_once`` at a time, so that the
+    sort needs little memory beside the bucket itself.
+    """
+    shares = np.uint64(max(1, math.ceil(words.shape[1] / at_once)))
+    # the upper half of the mixed key, because all words of a bucket have the lower one in common
+    share = (_mix(np.zeros(words.shape[1], np.uint64), words[0]) >> np.uint64(32)) % shares
+    pointers = np.argsort(share.astype(np.uint16 if shares < 1 << 16 else np.int64), kind="stable")
+    ends = np.cumsum(np.bincount(share.astype(np.int64), minlength=int(shares)))
+    del share
+    for a, b in zip([0, *ends[:-1]], ends):
+        yield from _quicksort(words, counts, pointers[a:b])
+
+
+def _quicksort(
+    words: np.ndarray, counts: np.ndarray, pointer: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Phrases of the suffixes pointed to, with their counts.
+
     Multikey three-way quicksort of pointers to the suffixes. Every round parts all open partitions
     at once by a pivot for the word at their depth; equal partitions go one word deeper, and their
     sizes are the counts. Partitions under ``LEAST`` are given up. Where all leading words are hot,
     other buckets hold more of the phrase: its count here is a part of the sum and reported as such,
     and of a small partition only the suffixes go on whose next word is hot as well.
     """
-    depths, count = len(words), words.shape[1]
-    pointer, part = np.arange(count), np.zeros(count, np.int64)
+    depths, part = len(words), np.zeros(len(pointer), np.int64)
     depth, hot = np.zeros(1, np.int64), np.ones(1, bool)  # of each partition; are all words so far hot
     while len(pointer):
         first = _starts(part)
@@ -244,22 +271,33 @@ def sort_suffixes(words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.nd
 def _count(kind: str):
     schema = pa.schema([*((name, pa.int64()) for name in _CODES), ("a", pa.int64())])
 
-    def count(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        words = np.concatenate(
-            [np.frombuffer(w, kind).reshape(LONGEST, -1) for w in rows.column("words").to_pylist()], axis=1
-        )
-        counts = np.concatenate([np.frombuffer(c, "<i4") for c in rows.column("counts").to_pylist()]).astype(np.int64)
-        parts = [schema.empty_table()]
-        for phrase, total in sort_suffixes(words, counts):
-            columns = [*(pa.array(w.astype(np.int64)) for w in phrase), pa.array(total)]
-            parts.append(pa.table(columns, schema=schema))
-        return pa.concat_tables(parts)
+    def count(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = [np.empty((LONGEST, 0), kind)], [np.empty(0, "<i4")]
+        for part in rows:
+            words += [np.frombuffer(w, kind).reshape(LONGEST, -1) for w in part.column("words").to_pylist()]
+            counts += [np.frombuffer(c, "<i4") for c in part.column("counts").to_pylist()]
+        counts = np.concatenate(counts)
+        words = np.concatenate(words, axis=1)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def made() -> pa.RecordBatch:
+            columns = [*np.concatenate([p for p, _ in held], axis=1), np.concatenate([a for _, a in held])]
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], schema=schema)
+
+        for found in sort_suffixes(words, counts, SORTED_AT_ONCE):
+            held.append(found)
+            if sum(len(a) for _, a in held) >= PHRASES_AT_ONCE:
+                yield made()
+                held.clear()
+        if held:
+            yield made()
 
     return count
 
 
 def frequent(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Frequent phrases ``p, a`` (coded words), the words behind the codes, and ``lang, n``."""
+    bounded_batches(docs.sparkSession)
     chunks = _chunks(docs)
     sizes = chunks.groupBy("lang").agg(F.sum("total").alias("n")).where("n > 0")
     listed = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry"))

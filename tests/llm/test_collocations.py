@@ -2,12 +2,17 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlake.llm import collocations
+from cohortlake.llm.texts import BATCH_BYTES
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -108,3 +113,47 @@ def test_empty_table_and_clashing_columns(spark, docs_of):
     assert [tuple(r) for r in collocations.phrases(docs).collect()] == [("en", 1, "one two three", 30, 30, 30, 90, 1000000)]
     none = collocations.phrases(docs.limit(0))
     assert none.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and none.count() == 0
+
+
+def test_rows_and_sorts_in_small_pieces(spark, docs_of, spoken, monkeypatch):
+    small = (("CHUNK_WORDS", 500), ("BUCKET_SUFFIXES", 400), ("HOT", 150), ("ROW_BYTES", 60), ("SORTED_AT_ONCE", 7))
+    for name, value in (*small, ("PHRASES_AT_ONCE", 5)):
+        monkeypatch.setattr(collocations, name, value)
+    assert mined(spark, docs_of, spoken) == brute(spoken)
+
+
+def test_routed_rows_are_bounded():
+    said = np.random.default_rng(6).integers(0, 3000, 100_000).astype("<i4")
+    chunks = pa.table({"said": pa.array([said.tobytes()], pa.binary()), "known": [3000]})
+    words = pa.table({"place": np.arange(3000), "code": 2 * np.arange(3000)})
+    routed = collocations._route("<i4", 2)(chunks, words)
+    sizes = [len(w) + len(c) for w, c in zip(routed.column("words").to_pylist(), routed.column("counts").to_pylist())]
+    assert max(sizes) <= 1 << 18 and sum(sizes) == 20 * collocations.suffixes(2 * said)[0].shape[1]
+
+
+def test_sort_needs_less_than_two_buckets_of_memory():
+    draw = np.random.default_rng(5)
+    found, counts = collocations.suffixes((2 * (draw.zipf(1.2, 1 << 20) % 50_000)).astype("<i4"))
+    found, counts = found.astype("<i4"), counts.astype("<i4")
+    tracemalloc.start()
+    try:
+        rows = sum(len(total) for _, total in collocations.sort_suffixes(found, counts))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > 1000 and most < 2 * (found.nbytes + counts.nbytes)
+
+
+def test_texts_and_buckets_come_in_bounded_batches(spark, docs_of):
+    session = spark.newSession()
+    session.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = session.createDataFrame([], "doc_id long, text string, lang string")
+    collocations.frequent(docs)
+
+    def sizes(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in rows:
+            yield pa.RecordBatch.from_arrays([pa.array([part.num_rows]), pa.array([part.nbytes])], ["rows", "size"])
+
+    rows = session.range(0, 3000, 1, 1).select(F.lit(1).alias("bucket"), F.repeat(F.lit("x"), 10_000).alias("words"))
+    found = rows.groupBy("bucket").applyInArrow(sizes, "rows long, size long").collect()
+    assert sum(r.rows for r in found) == 3000 and max(r.size for r in found) < 2 * BATCH_BYTES
