@@ -8,10 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.texts import ROWS_AT_ONCE, bounded_batches
+from cohortlake.llm.texts import BATCH_BYTES, ROWS_AT_ONCE, bounded_batches
 from cohortlake.session import materialize
 
 #: Occurrences of a phrase at least, and words of one at most.
@@ -26,8 +27,10 @@ CHUNK_WORDS = 1 << 21
 #: only what would fill half a bucket by itself is spread, because its phrases are then counted in parts.
 BUCKET_SUFFIXES = 1 << 21
 HOT = BUCKET_SUFFIXES // 2
-#: Bytes of routed suffixes in a row, so that the JVM holds and sends a bucket in small pieces.
+#: Bytes of a chunk's text or of routed suffixes in a row, so that the JVM holds and sends them in small pieces.
 ROW_BYTES = 1 << 18
+#: Words of a chunk sent back at once.
+WORDS_AT_ONCE = 1 << 16
 #: Suffixes of a bucket in expectation that are sorted at the same time, and phrases sent back at once.
 SORTED_AT_ONCE, PHRASES_AT_ONCE = 1 << 18, 1 << 16
 #: What a language is called that is not given.
@@ -41,8 +44,13 @@ _BYTES = bytes(
 _MARK = bytes([_PIECE_END])
 _CODES = [f"w{k + 1}" for k in range(LONGEST)]
 
-_CHUNK = "lang string, said binary, words array<binary>, counts array<long>, total long"
+_CHUNK = "chunk long, lang string, n long, part long, said binary, place long, word binary"
+_CHUNK_SCHEMA = pa.schema([
+    ("chunk", pa.int64()), ("lang", pa.string()), ("n", pa.int64()),
+    ("part", pa.int64()), ("said", pa.binary()), ("place", pa.int64()), ("word", pa.binary()),
+])
 _ROUTED = "bucket int, words binary, counts binary"
+_ROUTED_SCHEMA = pa.schema([("bucket", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -58,30 +66,47 @@ class _Numbers(dict):
         return number
 
 
+def _chunk_rows(chunk: int, lang: str, every: np.ndarray, names: list[bytes], mark: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one chunk: its text in parts of ``ROW_BYTES``, then its words; in batches of bounded size."""
+
+    def batch(rows: int, **columns) -> pa.RecordBatch:
+        columns |= {"chunk": pa.repeat(pa.scalar(chunk, pa.int64()), rows), "lang": pa.repeat(lang, rows)}
+        made = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in _CHUNK_SCHEMA]
+        return pa.RecordBatch.from_arrays(made, schema=_CHUNK_SCHEMA)
+
+    counts, ends = np.bincount(every, minlength=len(names)), every == mark
+    every[ends] = -1
+    at_once = max(1, ROW_BYTES // every.itemsize)
+    starts, together = range(0, len(every), at_once), max(1, BATCH_BYTES // ROW_BYTES)
+    for first in range(0, len(starts), together):
+        own = [slice(a, a + at_once) for a in starts[first : first + together]]
+        n = [int(np.count_nonzero(~ends[k])) for k in own]
+        yield batch(len(own), n=n, part=range(first, first + len(own)), said=[every[k].tobytes() for k in own])
+    for a in range(0, len(names), WORDS_AT_ONCE):
+        place = np.arange(a, min(a + WORDS_AT_ONCE, len(names)))
+        place = place[place != mark]
+        yield batch(len(place), n=counts[place], place=place, word=[names[k] for k in place])
+
+
 def _chunks(docs: DataFrame) -> DataFrame:
-    """Texts as numbers of words, -1 at the end of a piece, with a list of words, one row per task's chunk and language."""
+    """Chunks of texts of one task and language, as numbers of words, -1 at the end of a piece, with their words.
+
+    A chunk has rows of two kinds, none of which is large: ``said`` is the ``part``-th part of the
+    numbers and holds ``n`` words; ``word`` has the number ``place`` and occurs ``n`` times.
+    """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, _Numbers] = defaultdict(_Numbers)
         said: dict[str, list[np.ndarray]] = defaultdict(list)
-        held = 0
+        held, chunk = 0, TaskContext.get().partitionId() << 33
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, runs in said.items():
+            nonlocal chunk
+            for lang in list(said):
                 # the mark has a number like a word
-                names, every = list(numbers[lang]), np.concatenate(runs)
-                counts = np.bincount(every, minlength=len(names))
-                mark = numbers[lang][_MARK]
-                every[every == mark] = -1
-                counts[mark] = 0
-                columns = [
-                    pa.array([lang]),
-                    pa.array([every.tobytes()], pa.binary()),
-                    pa.array([names], pa.list_(pa.binary())),
-                    pa.array([counts.tolist()], pa.list_(pa.int64())),
-                    pa.array([int(counts.sum())]),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "said", "words", "counts", "total"])
+                names = numbers.pop(lang)
+                yield from _chunk_rows(chunk, lang, np.concatenate(said.pop(lang)), list(names), names[_MARK])
+                chunk += 1
 
         for part in parts:
             for at in range(0, part.num_rows, ROWS_AT_ONCE):
@@ -93,15 +118,12 @@ def _chunks(docs: DataFrame) -> DataFrame:
                     held += len(words)
                     if held >= CHUNK_WORDS:
                         yield from flush()
-                        numbers.clear()
-                        said.clear()
                         held = 0
         yield from flush()
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
     rows = docs.select(lang, F.col("text").cast("string").cast("binary"))
-    made = rows.mapInArrow(batches, _CHUNK)
-    return materialize(made.select(F.monotonically_increasing_id().alias("chunk"), "*"), "chunks")
+    return materialize(rows.mapInArrow(batches, _CHUNK), "chunks")
 
 
 def _frequent_words(entries: DataFrame) -> DataFrame:
@@ -167,22 +189,36 @@ def _route(kind: str, buckets: int):
     at_once = max(1, ROW_BYTES // (LONGEST * np.dtype(kind).itemsize + 4))
 
     def route(chunks: pa.Table, words: pa.Table) -> pa.Table:
-        out = {"bucket": [], "words": [], "counts": []}
-        for row in chunks.select(["said", "known"]).to_pylist():
-            code = np.full(row["known"] + 1, -1, kind)  # the last one is the mark's
-            code[words.column("place").to_numpy()] = words.column("code").to_numpy()
-            found, counts = suffixes(code[np.frombuffer(row["said"], "<i4")])
-            bucket = routes(found, buckets)
-            order = np.argsort(bucket, kind="stable")
-            found, counts, bucket = found[:, order], counts[order], bucket[order]
-            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-            for a, end in zip(first, [*first[1:], len(bucket)]):
-                for b in range(a, end, at_once):
-                    row = slice(b, min(b + at_once, end))
-                    out["bucket"].append(int(bucket[a]))
-                    out["words"].append(found[:, row].astype(kind).tobytes())
-                    out["counts"].append(counts[row].astype("<i4").tobytes())
-        return pa.table(out, pa.schema([("bucket", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())]))
+        pieces = chunks.column("said").to_pylist()
+        if len(pieces) > 1:
+            pieces = [pieces[k] for k in np.argsort(chunks.column("part").to_numpy())]
+        said, place = np.frombuffer(b"".join(pieces), "<i4"), words.column("place").to_numpy()
+        del pieces
+        code = np.full(max(said.max(initial=-1), place.max(initial=-1)) + 2, -1, kind)  # the last one is the mark's
+        code[place] = words.column("code").to_numpy()
+        found, counts = suffixes(code[said])
+        bucket = routes(found, buckets)
+        order = np.argsort(bucket, kind="stable")
+        found, counts, bucket = found[:, order].astype(kind), counts[order].astype("<i4"), bucket[order]
+        batches, rows, size = [], [], 0
+
+        def close() -> None:
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _ROUTED_SCHEMA)]
+            batches.append(pa.RecordBatch.from_arrays(columns, schema=_ROUTED_SCHEMA))
+            rows.clear()
+
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+        for a, end in zip(first, [*first[1:], len(bucket)]):
+            for b in range(a, end, at_once):
+                own = slice(b, min(b + at_once, end))
+                rows.append((int(bucket[a]), found[:, own].tobytes(), counts[own].tobytes()))
+                size += len(rows[-1][1]) + len(rows[-1][2])
+                if size >= BATCH_BYTES:
+                    close()
+                    size = 0
+        if rows:
+            close()
+        return pa.Table.from_batches(batches, _ROUTED_SCHEMA)
 
     return route
 
@@ -299,10 +335,8 @@ def frequent(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Frequent phrases ``p, a`` (coded words), the words behind the codes, and ``lang, n``."""
     bounded_batches(docs.sparkSession)
     chunks = _chunks(docs)
-    sizes = chunks.groupBy("lang").agg(F.sum("total").alias("n")).where("n > 0")
-    listed = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry"))
-    entries = listed.select("chunk", "lang", "place", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
-    entries = entries.where("n > 0")
+    said, entries = chunks.where("part is not null"), chunks.where("place is not null")
+    sizes = said.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     words = _frequent_words(entries.select("lang", "word", "n"))
     row = words.agg(F.max("code")).first()
     kind = "<i4" if (row[0] or 0) < 1 << 31 else "<i8"
@@ -311,8 +345,7 @@ def frequent(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     known = entries.join(words.select("lang", "word", "code"), ["lang", "word"]).select(
         F.col("chunk").alias("own"), "place", "code"
     )
-    said = chunks.select("chunk", "said", F.size("words").alias("known"))
-    routed = said.groupBy("chunk").cogroup(known.groupBy("own")).applyInArrow(_route(kind, buckets), _ROUTED)
+    routed = said.select("chunk", "part", "said").groupBy("chunk").cogroup(known.groupBy("own")).applyInArrow(_route(kind, buckets), _ROUTED)
     found = routed.groupBy("bucket").applyInArrow(_count(kind), ", ".join(f"{c} long" for c in _CODES) + ", a long")
     summed = found.groupBy(*_CODES).agg(F.sum("a").alias("a")).where(F.col("a") >= LEAST)
     phrase = F.filter(F.array(*_CODES), lambda w: w >= 0)

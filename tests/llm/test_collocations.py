@@ -157,3 +157,22 @@ def test_texts_and_buckets_come_in_bounded_batches(spark, docs_of):
     rows = session.range(0, 3000, 1, 1).select(F.lit(1).alias("bucket"), F.repeat(F.lit("x"), 10_000).alias("words"))
     found = rows.groupBy("bucket").applyInArrow(sizes, "rows long, size long").collect()
     assert sum(r.rows for r in found) == 3000 and max(r.size for r in found) < 2 * BATCH_BYTES
+
+
+def test_chunks_are_sent_in_small_rows(spark, docs_of):
+    draw = random.Random(8)
+    text = " ".join(draw.choices([f"w{k}" for k in range(500)], k=150_000))
+    docs = docs_of([(1, text, "en"), (2, text, "fr")]).coalesce(1)
+    longest = collocations._chunks(docs).agg(F.max(F.length("said"))).first()[0]
+    assert 0 < longest <= collocations.ROW_BYTES
+    assert mined(spark, docs_of, [(text, "en"), (text + ". " + text, "fr")], 50) == brute([(text, "en"), (text + ". " + text, "fr")], 50)
+
+
+def test_routed_rows_come_in_bounded_batches():
+    said = np.random.default_rng(7).integers(0, 5000, 1_000_000).astype("<i4")
+    chunks = pa.table({"said": pa.array([said.tobytes()], pa.binary()), "known": [5000]})
+    words = pa.table({"place": np.arange(5000), "code": 2 * np.arange(5000)})
+    routed = collocations._route("<i4", 3)(chunks, words)
+    assert max(b.nbytes for b in routed.to_batches()) < 2 * BATCH_BYTES
+    parts = pa.table({"part": [2, 0, 1], "said": [s.tobytes() for s in (said[700_000:], said[:300_000], said[300_000:700_000])]})
+    assert collocations._route("<i4", 3)(parts, words).equals(routed)
