@@ -25,8 +25,9 @@ CALIBRATION = 5
 #: Characters per language that the models are learned from, in expectation; rows of longer texts are fewer.
 #: It bounds the n-grams of a language before they are counted, so that all counts are whole.
 TRAIN_CHARACTERS = 8_000_000
-#: Words whose scores a Python worker remembers.
+#: Words whose scores a Python worker remembers, and new words that are scored together.
 REMEMBERED = 300_000
+WORDS_AT_ONCE = 1 << 12
 #: Calibration rows beyond a bound. A language's bound is at least as far off as its own texts reach
 #: and as this part of the way to the nearest texts of a language that the models do not have.
 TAIL, WAY = 0.002, 1 / 3
@@ -186,7 +187,7 @@ def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict], more
     Words recur, so each is scored once as long as it is remembered.
     """
     known: dict[bytes, int] = {}
-    table = np.zeros((1, 0))  # its width is known from the first words on
+    table = np.zeros((0, 0))  # its width is known from the first words on
 
     def learn(words: list[bytes]) -> None:
         nonlocal table
@@ -197,19 +198,20 @@ def _scorer(model: KneserNey, say: Callable[[KneserNey, np.ndarray], dict], more
             owner += [i] * len(found)
         bits = model.bits(runs, np.array(owner, int), len(words))
         fresh = np.hstack([bits, more(model, bits)])
-        if not table.shape[1]:
-            table = np.zeros((1, fresh.shape[1]))
         first = len(known)
-        while first + len(words) > len(table):
-            table = np.concatenate([table, np.zeros_like(table)])
+        if first + len(words) > len(table):
+            # memory is taken only for rows that are written, so most often this one is enough
+            wider = np.zeros((max(REMEMBERED, 2 * len(table), first + len(words)), fresh.shape[1]))
+            wider[:first] = table[:first] if first else 0.0
+            table = wider
         table[first : first + len(words)] = fresh
         known.update((w, first + i) for i, w in enumerate(words))
 
     def score(texts: list[str | None]) -> list[dict]:
         split = [(text or "").encode().lower().split() for text in texts]
         new = list(set().union(*split) - known.keys())
-        if new:
-            learn(new)
+        for at in range(0, len(new), WORDS_AT_ONCE):
+            learn(new[at : at + WORDS_AT_ONCE])
         said = []
         for words in split:
             places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))

@@ -28,8 +28,11 @@ OPEN_WINDOWS = 64
 LEAST_PIECE = 32
 #: Tasks whose leftovers one group merges.
 FAN_IN = 32
-#: Words whose ids a Python worker remembers, in about 60 MB.
+#: Words whose ids a Python worker remembers, in about 50 MB; it makes room for the first of them, then for
+#: those that it holds. New words are tokenised so many together.
 REMEMBERED = 1_000_000
+_FIRST_WORDS = 1 << 14
+_WORDS_AT_ONCE = 1 << 12
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _SCHEMA = f"{PIECE}, ids binary, part long"
@@ -40,20 +43,23 @@ _ARROW = pa.schema(
 
 
 class _WordTable:
-    """Ids of words by a 64-bit hash of their bytes: open addressing in arrays, about 60 bytes a word."""
+    """Ids of words by a 64-bit hash of their bytes: open addressing in arrays that grow with the words held."""
 
     def __init__(self, size: int):
         self.size = size
         self.clear()
 
     def clear(self) -> None:
-        self.bits = max(8, (2 * self.size).bit_length())
-        self.keys = np.zeros(1 << self.bits, np.uint64)  # 0: empty
-        self.start = np.zeros(1 << self.bits, np.int64)
-        self.count = np.zeros(1 << self.bits, np.int64)
+        self._make(_FIRST_WORDS)
         self.ids = np.empty(1 << 16, "<u4")
         self.held = self.used = 0
 
+    def _make(self, words: int) -> None:
+        self.bits = max(8, (2 * words).bit_length())  # at most half of the places are taken
+        self.keys = np.zeros(1 << self.bits, np.uint64)  # 0: empty
+        self.start = np.zeros(1 << self.bits, np.uint32)
+        self.count = np.zeros(1 << self.bits, np.uint32)
+
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Where each hash is, or the empty place where its search ended."""
         place = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -71,7 +77,17 @@ class _WordTable:
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
-        starts = self.used + np.cumsum(counts) - counts
+        if 2 * (self.held + len(hashes)) > len(self.keys):
+            keys, start, count = self.keys, self.start, self.count
+            self._make(self.held + len(hashes))
+            for at in range(0, len(keys), _FIRST_WORDS):
+                own = at + np.flatnonzero(keys[at : at + _FIRST_WORDS])
+                self._put(keys[own], start[own], count[own])
+        self._put(hashes, self.used + np.cumsum(counts) - counts, counts)
+        self.held += len(hashes)
+        self.used += len(flat)
+
+    def _put(self, hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
         left = np.arange(len(hashes))
         while len(left):  # of hashes that meet at an empty place one stays, the others go on
             place = self.places(hashes[left])
@@ -80,14 +96,12 @@ class _WordTable:
             self.start[place[mine]] = starts[left[mine]]
             self.count[place[mine]] = counts[left[mine]]
             left = left[~mine]
-        self.held += len(hashes)
-        self.used += len(flat)
 
 
 #: Words of more bytes are hashed one by one, because sums of weighted letters can be equal for long ones.
 _SHORT = 64
 #: Bytes of text whose words are looked up together.
-_TEXT_AT_ONCE = 1 << 20
+_TEXT_AT_ONCE = 1 << 18
 _random = np.random.default_rng(97)
 _LETTER = _random.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _LETTER[[9, 10, 11, 12, 13, 32]] = 0
@@ -143,10 +157,13 @@ def _word_encoder(path: str, end_id: int) -> Callable[[list[str | None]], list[n
             absent = np.arange(len(hashes))
         if len(new):
             at = absent[at]
-            words = [data[a:b].decode() for a, b in zip(starts[at], stops[at])]
-            table.add(new, [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+            for k in range(0, len(new), _WORDS_AT_ONCE):
+                some = at[k : k + _WORDS_AT_ONCE]
+                words = [data[a:b].decode() for a, b in zip(starts[some], stops[some])]
+                said = tokenizer.encode_batch_fast(words, add_special_tokens=False)
+                table.add(new[k : k + _WORDS_AT_ONCE], [e.ids for e in said])
             place = table.places(hashes)
-        counts = table.count[place]
+        counts = table.count[place].astype(np.int64)
         upto = np.concatenate([[0], np.cumsum(counts)])
         ids = table.ids[np.repeat(table.start[place] - upto[:-1], counts) + np.arange(upto[-1])]
         ends = np.cumsum([len(t) + 1 for t in texts])

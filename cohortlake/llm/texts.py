@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,16 +28,22 @@ def per_worker(key: tuple, make: Callable):
     One at a time, so that the memories of one operator do not stay beside those of the next.
     """
     if key not in _held:
-        _held.clear()
+        release()
         _held[key] = make()
     return _held[key]
 
 
 def release() -> None:
-    """Let go of what an earlier operator keeps in this Python worker, for tasks that keep nothing."""
-    if _held:
-        _held.clear()
-        pa.default_memory_pool().release_unused()
+    """Let go of what earlier tasks left in this Python worker, for tasks that keep nothing.
+
+    The C library keeps freed memory below whatever was allocated last; where it can, it is told to give
+    that back to the system, because the worker outlives the stage.
+    """
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def bounded_batches(spark: SparkSession) -> None:

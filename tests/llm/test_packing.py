@@ -116,3 +116,17 @@ def test_long_words_that_weighted_sums_confuse(plain):
     encode = packing.word_encoder(PATH)
     for ids, text in zip(encode(texts), texts):
         assert np.array_equal(ids, plain(text))
+
+
+def test_word_table_takes_room_for_the_words_it_holds():
+    hashes = np.unique(np.random.default_rng(3).integers(1, 1 << 63, 100_000, np.uint64) * np.uint64(2))
+    np.random.default_rng(4).shuffle(hashes)
+    ids = [[k & 1023] * (k % 4) for k in range(len(hashes))]
+    table = packing._WordTable(1_000_000)
+    for at in range(0, len(hashes), 30_000):
+        table.add(hashes[at : at + 30_000], ids[at : at + 30_000])
+    place = table.places(hashes)
+    assert (table.keys[place] == hashes).all() and table.held == len(hashes)
+    start, count = table.start[place].tolist(), table.count[place].tolist()
+    assert [table.ids[a : a + n].tolist() for a, n in zip(start, count)] == ids
+    assert sum(a.nbytes for a in (table.keys, table.start, table.count, table.ids)) < 12e6
