@@ -109,6 +109,19 @@ def test_rows_that_share_an_id_are_decided_one_by_one(spark, docs_of, folder):
     assert found == sorted([(3, texts[0]), (5, texts[1]), (7, texts[2]), (None, texts[0]), (8, None)], key=str)
 
 
+def test_rows_without_an_id_are_compared(spark, docs_of, folder):
+    words = [f"w{k}" for k in range(200)]
+    near, bridge, far = (" ".join(words[:n]) for n in (200, 170, 142))  # neighbours at 0.8 or more, the ends below
+    texts = [" ".join(f"{w}{k}" for k in range(40)) for w in "abcd"]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[0] + " more"), (None, texts[1]), (2, texts[1]), (1, texts[1])]
+    rows += [(None, texts[2]), (4, texts[3]), (5, near), (None, bridge), (6, far), (None, ""), (None, None)]
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.without_copies(spark, docs_of(rows), folder[0]).collect()]
+    assert sorted(i for i, _ in found if i is not None) == [1, 4, 5]
+    nameless = [t for i, t in found if i is None]
+    assert len(nameless) == 5 and {texts[1], texts[2], bridge} <= set(nameless)
+    assert sum((t or "").startswith(texts[0]) for t in nameless) == 1 and sum(not t for t in nameless) == 1
+
+
 def test_decontamination_against_shingles(stages, spark, folder):
     def shingles(text):
         said = decontam.words(text)
